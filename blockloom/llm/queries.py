@@ -9,6 +9,18 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .suffix_dedup import suffix_dedup
+
+    return suffix_dedup(_read(spark, sf_dir, "documents"))
+
+
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .substring_dedup import substring_dedup
+
+    return substring_dedup(_read(spark, sf_dir, "documents"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .quality import quality
 
@@ -28,6 +40,6 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing(docs, token_estimate(docs["text"]))
 
 
-QUERIES = {f.__name__: f for f in (op8_quality_rules, op9_toxicity, op10_best_fit_packing)}
+QUERIES = {f.__name__: f for f in (op6_suffix_array_dedup, op7_substring_dedup, op8_quality_rules, op9_toxicity, op10_best_fit_packing)}
 #: DuckDB SQL for the queries that SQL can express on whole tables.
 ORACLE_SQL: dict[str, str] = {}

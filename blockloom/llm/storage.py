@@ -5,11 +5,14 @@ from __future__ import annotations
 import gc
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 #: Rows that Spark hands to Python at once; long texts make large batches.
 ARROW_ROWS = 1000
+_SHIPPED: dict[str, str | None] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -36,6 +39,16 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 
 def small_batches(spark: SparkSession) -> None:
+    """Prepare the session for Python stages: small batches, and this package on every executor."""
+    package = Path(__file__).resolve().parents[1]
+    shipped = spark.sparkContext.getConf().get("spark.app.id")
+    if _SHIPPED.get("app") != shipped and (package / "__init__.py").exists():
+        path = Path(tempfile.mkdtemp(prefix="package-")) / f"{package.name}.zip"
+        with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+            for f in sorted(package.rglob("*.py")):
+                z.write(f, f.relative_to(package.parent))
+        spark.sparkContext.addPyFile(str(path))
+        _SHIPPED["app"] = shipped
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
 
 
