@@ -166,53 +166,58 @@ class Grammar:
         return 1 / (1 + np.exp(-z))
 
 
-def _features(texts: list[bytes], toxic: np.ndarray):
-    """``(kind, hash, document, context)`` of the words and stems of a sample, each once per document."""
-    parts = []
-    for base in range(0, len(texts), 256):
-        chunk = texts[base : base + 256]
+def _chunks(texts: list[bytes], size: int = 256):
+    for base in range(0, len(texts), size):
+        chunk = texts[base : base + size]
         offs = np.concatenate([[0], np.cumsum([len(t) for t in chunk])]).astype(np.int64)
-        data = np.frombuffer(b"".join(chunk), np.uint8)
+        yield base, np.frombuffer(b"".join(chunk), np.uint8), offs
+
+
+def _features(texts: list[bytes]):
+    """For chunks of texts: ``(is stem, hash, document, hash of the word before)``, each feature once per document."""
+    for base, data, offs in _chunks(texts):
         low, start, end = letters(data, offs)
         if not len(start):
             continue
         ranges, doc = K.Ranges(K.BYTE_HASH[low]), K.owner(offs, start)
         h = ranges(start, end)
         left = np.concatenate([[K.U64(0)], h[:-1]])
-        for kind, n in enumerate((0, *STEMS)):
+        for n in (0, *STEMS):
             pick = np.flatnonzero(end - start > n) if n else np.arange(len(start))
             key = ranges(start[pick], start[pick] + n) if n else h
-            both = K.mix(key ^ K.mix(doc[pick].astype(K.U64) + K.U64(1)))
-            _, one = np.unique(both, return_index=True)
-            parts.append(np.rec.fromarrays([np.full(len(one), kind, np.int8), key[one], (base + doc[pick])[one].astype(np.int32), left[pick][one]], names="kind,key,doc,left"))
-    return np.concatenate(parts) if parts else np.rec.fromarrays([np.zeros(0, np.int8), np.zeros(0, K.U64), np.zeros(0, np.int32), np.zeros(0, K.U64)], names="kind,key,doc,left")
+            _, one = np.unique(K.mix(key ^ K.mix(doc[pick].astype(K.U64) + K.U64(1))), return_index=True)
+            yield n > 0, key[one], left[pick][one]
 
 
 def lexicon(texts: list[bytes], toxic: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the toxic words and of the toxic word beginnings of a labelled sample."""
-    f = _features(texts, toxic)
-    bad = toxic[f["doc"]].astype(bool)
-    keys, index = np.unique(f["key"], return_inverse=True)
-    n_bad = np.bincount(index, bad, minlength=len(keys))
-    n_good = np.bincount(index, ~bad, minlength=len(keys))
-    first = np.zeros(len(keys), np.int8)
-    first[index] = f["kind"]
-    pairs = np.unique(K.mix(f["left"] ^ K.mix(f["key"]))[bad], return_index=True)[1]
-    contexts = np.bincount(index[bad][pairs], minlength=len(keys))
-    ratio = (n_bad / max(1, toxic.sum()) + 1e-9) / ((n_good + 0.5) / max(1, (1 - toxic).sum()))
+    bad_parts = [(np.full(len(k), s), k, c) for s, k, c in _features([t for t, y in zip(texts, toxic) if y])]
+    none = np.zeros(0, K.U64)
+    if not bad_parts:
+        return none, none
+    stem, key, left = (np.concatenate(x) for x in zip(*bad_parts))
+    keys, index, n_bad = np.unique(key, return_inverse=True, return_counts=True)
+    is_stem = np.zeros(len(keys), bool)
+    is_stem[index] = stem
+    pairs = np.unique(K.mix(left ^ K.mix(key)), return_index=True)[1]
+    contexts = np.bincount(index[pairs], minlength=len(keys))
     # In copies of one text the contexts of a word stay few; a planted word has nearly one for each document.
-    good = (n_bad >= MIN_DOCS) & (ratio >= 20) & (contexts >= np.maximum(MIN_CONTEXTS, 0.3 * n_bad)) & (n_good <= 0.02 * n_bad)
+    some = (n_bad >= MIN_DOCS) & (contexts >= np.maximum(MIN_CONTEXTS, 0.3 * n_bad))
+    keys, is_stem, n_bad = keys[some], is_stem[some], n_bad[some]
+    n_good = np.zeros(len(keys), np.int64)
+    for _, k, _ in _features([t for t, y in zip(texts, toxic) if not y]):
+        at = np.searchsorted(keys, k)
+        at = at[(at < len(keys)) & (keys[np.minimum(at, len(keys) - 1)] == k)] if len(keys) else at[:0]
+        n_good += np.bincount(at, minlength=len(keys))
+    ratio = (n_bad / max(1, toxic.sum())) / ((n_good + 0.5) / max(1, (1 - toxic).sum()))
+    good = (ratio >= 20) & (n_good <= 0.02 * n_bad)
     good[np.argsort(-n_bad * good, kind="stable")[MAX_LEXICON:]] = False
-    return np.sort(keys[good & (first == 0)]), np.sort(keys[good & (first > 0)])
+    return keys[good & ~is_stem], keys[good & is_stem]
 
 
 def _events(g: Grammar, texts: list[bytes]) -> np.ndarray:
-    rows = [np.zeros((0, len(EVENTS)), np.int64)]
-    for base in range(0, len(texts), 256):
-        chunk = texts[base : base + 256]
-        offs = np.concatenate([[0], np.cumsum([len(t) for t in chunk])]).astype(np.int64)
-        rows.append(g.events(np.frombuffer(b"".join(chunk), np.uint8), offs))
-    return np.concatenate(rows)
+    rows = [g.events(data, offs) for _, data, offs in _chunks(texts)]
+    return np.concatenate([np.zeros((0, len(EVENTS)), np.int64), *rows])
 
 
 def fit(texts: list[bytes], toxic: np.ndarray, rounds: int = 400) -> Grammar:
