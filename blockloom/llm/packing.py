@@ -33,8 +33,8 @@ from .storage import small_batches
 CAPACITIES = (512, 1024, 2048, 4096)
 #: Tokens' worth of overhead for one more bin.
 FIXED_COST = 16
-#: Tokens for one shard: some 20 MB of pieces at most, and waste at its end far under one per cent.
-SHARD_TOKENS = 4_000_000
+#: Tokens for one shard: a few MB of pieces, and waste at its end far under one per cent.
+SHARD_TOKENS = 1_000_000
 _DDL = "doc_id long,piece int,start long,n_tokens long,bin_id string,capacity int,offset int"
 
 
