@@ -9,6 +9,23 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: The model of op2; a parameter, never copied here.
+TOKENIZER = "/opt/tokenizers/piece_bpe_32k.model"
+
+
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .sentencepieces import encode, model_bytes
+
+    return encode(_read(spark, sf_dir, "documents"), model_bytes(TOKENIZER))
+
+
+def op5_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .archives import convert
+
+    rows = convert(_read(spark, sf_dir, "pages"))
+    return rows.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "record_id", "url")
+
+
 def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .suffix_dedup import suffix_dedup
 
@@ -40,6 +57,6 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing(docs, token_estimate(docs["text"]))
 
 
-QUERIES = {f.__name__: f for f in (op6_suffix_array_dedup, op7_substring_dedup, op8_quality_rules, op9_toxicity, op10_best_fit_packing)}
+QUERIES = {f.__name__: f for f in (op2_sentencepiece, op5_arc_to_warc, op6_suffix_array_dedup, op7_substring_dedup, op8_quality_rules, op9_toxicity, op10_best_fit_packing)}
 #: DuckDB SQL for the queries that SQL can express on whole tables.
 ORACLE_SQL: dict[str, str] = {}
