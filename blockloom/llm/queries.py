@@ -9,6 +9,12 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_stupid_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .lm_scores import lm_scores
+
+    return lm_scores(_read(spark, sf_dir, "documents"))
+
+
 #: The model of op2; a parameter, never copied here.
 TOKENIZER = "/opt/tokenizers/piece_bpe_32k.model"
 
@@ -57,6 +63,6 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing(docs, token_estimate(docs["text"]))
 
 
-QUERIES = {f.__name__: f for f in (op2_sentencepiece, op5_arc_to_warc, op6_suffix_array_dedup, op7_substring_dedup, op8_quality_rules, op9_toxicity, op10_best_fit_packing)}
+QUERIES = {f.__name__: f for f in (op1_stupid_backoff, op2_sentencepiece, op5_arc_to_warc, op6_suffix_array_dedup, op7_substring_dedup, op8_quality_rules, op9_toxicity, op10_best_fit_packing)}
 #: DuckDB SQL for the queries that SQL can express on whole tables.
 ORACLE_SQL: dict[str, str] = {}

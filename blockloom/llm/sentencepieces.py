@@ -95,7 +95,10 @@ class Model:
         self.raw = [bytes([int(p[3:5], 16)]) if k == 6 else " ⁇ ".encode() if k == 2 else b"" if k == 3 else p.encode() for p, k in zip(self.pieces, kinds)]
         self.low = min((self.scores[i] for i in self.ids.values()), default=0.0) - 10
         self.words: dict[str, list[int]] = {}
-        self.pairs: dict[tuple[str, str], bool] = {}
+        self.pairs: dict[str, dict[str, bool]] = {}
+        self.n_pairs = 0
+        #: Endings of pieces: true for a whole piece.
+        self.ends = {p[i:]: False for p in self.ids for i in range(1, len(p))} | dict.fromkeys(self.ids, True)
 
     def merged(self, text: str) -> list[str]:
         """Pieces of a short text by merges: the best-scored neighbours first, the left of equals."""
@@ -111,37 +114,46 @@ class Model:
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
 
     def stays(self, a: str, b: str) -> bool:
-        """Whether the merges of ``a + b`` end in these two pieces."""
-        known = self.pairs.get((a, b))
-        if known is None:
-            if len(self.pairs) >= KEPT_PAIRS:
-                self.pairs.clear()
-            known = self.pairs[a, b] = self.merged(a + b) == ([a, b] if a else [b])
-        return known
+        """Whether the merges of ``a + b`` end in these two pieces; ``a`` may be empty."""
+        return self.merged(a + b) == ([a, b] if a else [b])
 
     def _bpe(self, words: list[str]):
-        ids, longest, stays = self.ids, self.longest, self.stays
+        ends, pairs = self.ends, self.pairs
         before, last = "", [""]
         for w in words:
-            keep = len(os.path.commonprefix((before, w)))
+            keep, most = 0, min(len(w), len(before))
+            while keep < most and w[keep] == before[keep]:
+                keep += 1
             del last[keep + 1 :]
             for i in range(keep + 1, len(w) + 1):
-                if w[i - 1] not in ids:
-                    last.append(w[i - 1])
-                    continue
-                for n in range(min(i, longest), 0, -1):
-                    piece = w[i - n : i]
-                    if piece in ids:
-                        prev = last[i - n]
-                        if stays(prev if prev in ids else "", piece):
+                at = i
+                while at:
+                    at -= 1
+                    piece = w[at:i]
+                    whole = ends.get(piece)
+                    if whole is None:  # no piece ends like this: the character has none
+                        last.append(w[i - 1])
+                        break
+                    if whole:
+                        verdicts = pairs.get(last[at])
+                        if verdicts is None:
+                            verdicts = pairs[last[at]] = {}
+                        fits = verdicts.get(piece)
+                        if fits is None:
+                            self.n_pairs += 1
+                            fits = verdicts[piece] = self.stays(last[at] if last[at] in self.ids else "", piece)
+                        if fits:
                             last.append(piece)
                             break
+                else:
+                    last.append(w[i - 1])
             before = w
             out, i = [], len(w)
             while i:
                 out.append(last[i])
                 i -= len(last[i])
-            yield out[::-1]
+            out.reverse()
+            yield out
 
     def _unigram(self, words: list[str]):
         before, table = "", [(0.0, "")]
@@ -177,20 +189,23 @@ class Model:
             return []
         return _WORD.findall((MARK if self.prefix else "") + text.replace(" ", MARK))
 
-    def learn(self, words) -> dict[str, list[int]]:
+    def learn(self, words: set[str]) -> dict[str, list[int]]:
         """Ids of all ``words``; those not kept from before are computed in sorted order."""
         kept = self.words
-        new = sorted({w for w in words if w not in kept})
+        new = sorted(words.difference(kept))
+        if self.n_pairs > KEPT_PAIRS:
+            self.pairs.clear()
+            self.n_pairs = 0
         if len(kept) + len(new) > KEPT_WORDS:
             kept.clear()
-            new = sorted(set(words))
+            new = sorted(words)
         for w, parts in zip(new, (self._bpe if self.kind == BPE else self._unigram)(new)):
             kept[w] = self._numbers(parts)
         return kept
 
     def encode(self, texts: list[str]) -> list[list[int]]:
         cut = [self.split(t) for t in texts]
-        table = self.learn({w for c in cut for w in c})
+        table = self.learn(set(chain.from_iterable(cut)))
         return [list(chain.from_iterable(map(table.__getitem__, c))) for c in cut]
 
     def decode(self, ids) -> str:
@@ -224,7 +239,7 @@ def encode(docs: DataFrame, model: bytes, id_col: str = "doc_id", text_col: str
                     size += len(texts[end])
                     end += 1
                 cut = [m.split(t) for t in texts[at:end]]
-                table = m.learn({w for c in cut for w in c})
+                table = m.learn(set(chain.from_iterable(cut)))
                 ids = [list(chain.from_iterable(map(table.__getitem__, c))) for c in cut]
                 n = np.array([len(x) for x in ids], np.int64)
                 flat = np.fromiter(chain.from_iterable(ids), np.int32, int(n.sum()))
