@@ -25,6 +25,12 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode(_read(spark, sf_dir, "documents"), model_bytes(TOKENIZER))
 
 
+def op3_hilbert_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .hilbert_search import nearest
+
+    return nearest(_read(spark, sf_dir, "embeddings"))
+
+
 def op5_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .archives import convert
 
@@ -63,6 +69,6 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing(docs, token_estimate(docs["text"]))
 
 
-QUERIES = {f.__name__: f for f in (op1_stupid_backoff, op2_sentencepiece, op5_arc_to_warc, op6_suffix_array_dedup, op7_substring_dedup, op8_quality_rules, op9_toxicity, op10_best_fit_packing)}
+QUERIES = {f.__name__: f for f in (op1_stupid_backoff, op2_sentencepiece, op3_hilbert_neighbours, op5_arc_to_warc, op6_suffix_array_dedup, op7_substring_dedup, op8_quality_rules, op9_toxicity, op10_best_fit_packing)}
 #: DuckDB SQL for the queries that SQL can express on whole tables.
 ORACLE_SQL: dict[str, str] = {}
