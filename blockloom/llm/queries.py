@@ -31,6 +31,12 @@ def op3_hilbert_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(_read(spark, sf_dir, "embeddings"))
 
 
+def op4_minhash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .minhash import near_duplicates
+
+    return near_duplicates(_read(spark, sf_dir, "documents"), size=2, percent=80)
+
+
 def op5_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .archives import convert
 
@@ -69,6 +75,6 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing(docs, token_estimate(docs["text"]))
 
 
-QUERIES = {f.__name__: f for f in (op1_stupid_backoff, op2_sentencepiece, op3_hilbert_neighbours, op5_arc_to_warc, op6_suffix_array_dedup, op7_substring_dedup, op8_quality_rules, op9_toxicity, op10_best_fit_packing)}
+QUERIES = {f.__name__: f for f in (op1_stupid_backoff, op2_sentencepiece, op3_hilbert_neighbours, op4_minhash_forest, op5_arc_to_warc, op6_suffix_array_dedup, op7_substring_dedup, op8_quality_rules, op9_toxicity, op10_best_fit_packing)}
 #: DuckDB SQL for the queries that SQL can express on whole tables.
 ORACLE_SQL: dict[str, str] = {}
