@@ -1,8 +1,84 @@
-"""A training-data pipeline over ``documents`` in stages, each written as Parquet and read by the next."""
+"""A training-data pipeline over ``documents``: each stage is written as Parquet and read by the next.
 
-STAGES = []
+Quality rules and toxicity drop the documents that they reject, near-duplicates keep one document of each group,
+suffix-array dedup cuts repeated strings from later documents (a document with no word left goes), and packing
+deals what is left into sequences.
+"""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from blockloom.llm.minhash import near_duplicates
+from blockloom.llm.packing import packing, token_estimate
+from blockloom.llm.quality import quality
+from blockloom.llm.storage import shared_dir
+from blockloom.llm.suffix_dedup import suffix_dedup
+from blockloom.llm.toxicity import toxicity
+
+_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def _documents(docs: DataFrame) -> DataFrame:
+    return docs.select(*_COLUMNS)
+
+
+def _kept(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows of ``docs`` whose id is in ``ids``; null ids are matched too."""
+    keep = ids.select(F.col("doc_id").alias("kept_id")).distinct()
+    return docs.join(keep, docs["doc_id"].eqNullSafe(keep["kept_id"]), "left_semi")
+
+
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    docs = _documents(docs)
+    judged = quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return _kept(docs, judged.where("kept"))
+
+
+def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    docs = _documents(docs)
+    scored = toxicity(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return _kept(docs, scored.where("predicted = 0"))
+
+
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Five-word shingles, similarity 0.8."""
+    docs = _documents(docs)
+    return _kept(docs, near_duplicates(docs, size=5, percent=80).where("kept"))
+
+
+def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    docs = _documents(docs)
+    left = suffix_dedup(docs, text=True).select(F.col("doc_id").alias("left_id"), "kept")
+    rest = docs.select("doc_id", "lang", "source")
+    joined = left.join(rest, F.col("left_id").eqNullSafe(F.col("doc_id"))).where(F.col("kept").rlike(r"[^\x20\x09-\x0D]"))
+    return joined.select("doc_id", F.col("kept").alias("text"), "lang", "source", F.length("kept").cast("long").alias("n_chars"))
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return packing(docs, token_estimate(docs["text"]))
+
+
+STAGES = [
+    ("quality rules", quality_stage),
+    ("toxicity", toxicity_stage),
+    ("near-duplicates", near_duplicate_stage),
+    ("suffix-array dedup", substring_stage),
+    ("best-fit packing", packing_stage),
+]
+
+#: SQL cannot express these stages; tests hold them against brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    base = f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}"
+    for k, (_, stage) in enumerate(STAGES):
+        path = f"{base}/{k}"
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
+    return docs
