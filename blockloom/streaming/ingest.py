@@ -11,7 +11,7 @@ from ..operators.parse import parse
 
 
 def skeleton_stream(spark: SparkSession, path: str, files_per_trigger: int = 1000) -> DataFrame:
-    s = spark.readStream.option("maxFilesPerTrigger", files_per_trigger).option("wholetext", "true").text(path)
+    s = spark.readStream.option("maxFilesPerTrigger", files_per_trigger).text(path, wholetext=True)
     p = F.col("_metadata.file_path")
     return s.select(F.sha1(p).alias("doc_id"), T.base_name(p).alias("source_file"), F.lower(F.regexp_extract(p, r"(\.[^./]*)\z", 1)).alias("fmt"), F.col("value").alias("text"))
 
