@@ -16,7 +16,8 @@ Steps (each a DataFrame operation over packed rows, one row holding thousands of
 5. kept texts meet the windows found and are finished.
 
 Equal contexts are compared once, by one representative, so a passage in a third of all documents costs step 4 no
-more than a rare one.  Buckets and groups are sized by bytes of text.  Hashes have 64 bits (48 in a bucket).
+more than a rare one.  Buckets and groups are sized by bytes of text.  Hashes have 64 bits; in a bucket 40 bits of gram and 40 of context, so
+80 and the bucket's own decide that two contexts are equal.
 """
 
 from __future__ import annotations
@@ -32,7 +33,7 @@ from pyspark.sql import functions as F
 from . import kernel as K
 from .storage import buckets, release, small_batches, stored
 
-FLUSH = 1_000_000
+FLUSH = 500_000
 NO_ID = (1 << 63) - 1
 FULL, NEED, SEND = 1, 2, 4
 _POS = (1 << 28) - 1
@@ -107,7 +108,7 @@ def _scan(m: Method, n_buckets: int):
         rows = [[] for _ in schema]
         for part in np.split(order, cuts):
             own, doc = np.unique(ids[part], return_inverse=True)
-            for r, v in zip(rows, (int(b[part[0]]), K.planes(key[part] >> K.U64(16), 6), K.planes(ctx[part] >> K.U64(16), 6), K.planes(own.astype(K.U64), 8), K.planes(doc, 4), K.planes(pos[part], 4))):
+            for r, v in zip(rows, (int(b[part[0]]), K.planes(key[part] >> K.U64(24), 5), K.planes(ctx[part] >> K.U64(24), 5), K.planes(own.astype(K.U64), 8), K.planes(doc, 4), K.planes(pos[part], 4))):
                 r.append(v)
         for i in range(0, len(rows[0]), 64):
             yield K.table(schema, **{f.name: r[i : i + 64] for f, r in zip(schema, rows)})
@@ -153,7 +154,7 @@ def _judge(m: Method, groups: int):
         cols = [[], [], [], []]
         for r in tab.select(["keys", "contexts", "ids", "docs", "pos"]).to_pylist():
             ids = K.unplanes(r["ids"], 8)
-            for c, v in zip(cols, (K.unplanes(r["keys"], 6), K.unplanes(r["contexts"], 6), ids[K.unplanes(r["docs"], 4).astype(np.int64)], K.unplanes(r["pos"], 4))):
+            for c, v in zip(cols, (K.unplanes(r["keys"], 5), K.unplanes(r["contexts"], 5), ids[K.unplanes(r["docs"], 4).astype(np.int64)], K.unplanes(r["pos"], 4))):
                 c.append(v)
         key, ctx, doc, pos = (np.concatenate(c) for c in cols)
         some = K.duplicated(key)
@@ -322,6 +323,7 @@ def repeated(docs: DataFrame, m: Method, id_col: str = "doc_id", text_col: str =
     rows = docs.select(F.coalesce(docs[id_col].cast("long"), F.lit(NO_ID)).alias("doc_id"), docs[text_col].cast("string").alias("text"))
     anchors = rows.mapInArrow(_scan(m, n), "bucket int,keys binary,contexts binary,ids binary,docs binary,pos binary")
     states = stored(anchors.groupBy("bucket").applyInArrow(_judge(m, groups), "grp int,ids binary,pos binary,state binary"), m.name + "-states")
+    del anchors  # what holds a plan holds its shuffle files
     release(spark)
     ddl = "kind int,doc_id long,bucket int,text binary,a binary,b binary,c binary," + m.columns
     schema = K.arrow_schema(ddl)

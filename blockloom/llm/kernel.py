@@ -13,7 +13,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 U64 = np.uint64
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 _P = U64(0x9E3779B97F4A7C15 | 1)
 _PINV = U64(pow(int(_P), -1, 1 << 64))
 _POWERS: list[np.ndarray] = [np.ones(1, U64), np.ones(1, U64)]

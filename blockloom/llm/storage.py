@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import tempfile
+import time
 import uuid
 import zipfile
 from pathlib import Path
@@ -31,7 +32,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     read it.  The files go when the application ends."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/tables/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     p = jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(conf).deleteOnExit(p)
@@ -54,8 +55,10 @@ def small_batches(spark: SparkSession) -> None:
 
 def release(spark: SparkSession) -> None:
     """Let Spark drop the shuffle files of steps that are finished and written."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(2):  # first Python's hold on the plan goes, then the plan, then its files
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.3)
 
 
 def text_bytes(df: DataFrame, text: str) -> int:
@@ -65,7 +68,7 @@ def text_bytes(df: DataFrame, text: str) -> int:
     return int(df.agg(F.sum(F.octet_length(text))).first()[0] or 0)
 
 
-def buckets(df: DataFrame, text: str, mb: int = 32) -> int:
+def buckets(df: DataFrame, text: str, mb: int = 8) -> int:
     """Buckets so that one holds about ``mb`` of text, and at least as many as the session shuffles to."""
     return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-text_bytes(df, text) // (mb << 20)))
 
