@@ -142,5 +142,5 @@ def test_advance_needs_results(spark):
 def test_evidence_samples(spark):
     f = spark.createDataFrame([("d", 0, "m.md", "〔源 p.1〕〔源 p.1〕\n〔源 p.2〕〔源 slide 3〕〔源 p.4〕〔源 A / 段 1〕")], "doc_id string, file_no int, file string, text string")
     a = evidence.anchor_map(f)
-    assert [(r.kind, r.index) for r in evidence.page_samples(a).orderBy("k").collect()] == [("pdf_page", 1), ("pdf_page", 2), ("slide", 3)]
+    assert [(r["kind"], r["index"]) for r in evidence.page_samples(a).orderBy("k").collect()] == [("pdf_page", 1), ("pdf_page", 2), ("slide", 3)]
     assert [r.source_anchor for r in evidence.text_samples(a).collect()] == ["A / 段 1"]
