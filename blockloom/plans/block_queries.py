@@ -373,8 +373,10 @@ def toc_texts(spark, sf):
 
 
 @query("""WITH i AS (SELECT p_brand, p_partkey, p_size, p_partkey % 4 AS k FROM part), t AS (SELECT *, lag(p_size) OVER (PARTITION BY p_brand ORDER BY p_partkey) AS prev FROM i WHERE k = 0),
-f AS (SELECT p_brand, count(*) AS n, count(*) FILTER (prev > p_size AND p_size <> 1) AS falls FROM t GROUP BY 1), l AS (SELECT p_brand, count(*) AS n FROM i WHERE k = 2 AND p_size = 7 GROUP BY 1)
-SELECT f.p_brand AS doc_id, f.n + coalesce(l.n, 0) AS n_top, coalesce(l.n, 0) AS n_labels, f.falls AS n_falls, f.falls = 0 AND l.n IS NULL AS ok FROM f LEFT JOIN l USING (p_brand)""")
+f AS (SELECT p_brand, count(*) AS n, count(*) FILTER (prev > p_size AND p_size <> 1) AS falls FROM t GROUP BY 1), l AS (SELECT p_brand, count(*) FILTER (k = 2 AND p_size = 7) AS n, count(*) FILTER (k = 1) AS deep FROM i GROUP BY 1),
+r AS (SELECT l.p_brand, coalesce(f.n, 0) + l.n AS n_top, l.n AS n_labels, coalesce(f.falls, 0) AS n_falls, l.deep FROM l LEFT JOIN f USING (p_brand)),
+z AS (SELECT p_brand, CASE WHEN n_top = 0 THEN deep ELSE n_top END AS n_top, CASE WHEN n_top = 0 THEN deep ELSE n_labels END AS n_labels, n_falls FROM r)
+SELECT p_brand AS doc_id, n_top, n_labels, n_falls, n_labels = 0 AND n_falls = 0 AS ok FROM z""")
 def toc_coherence(spark, sf):
     return quality.toc_coherence(toc_texts(spark, sf))
 

@@ -141,7 +141,7 @@ def tables_gate(spark, sf):
 
 @query("""WITH f AS (SELECT p_brand AS d, p_name, count(*) AS n FROM part WHERE p_size % 3 = 0 GROUP BY 1, 2)
 SELECT d AS doc_id, 'asset_files_exist' AS id, 'error' AS level, count(*) AS n FROM f WHERE p_name NOT LIKE 'red%' GROUP BY 1
-UNION ALL SELECT d, 'asset_names_conform', 'error', count(*) FROM f GROUP BY 1 UNION ALL SELECT d, 'no_orphan_image_files', 'warn', 1 FROM f GROUP BY 1""")
+UNION ALL SELECT d, 'asset_names_conform', 'error', count(*) FROM f GROUP BY 1 UNION ALL SELECT p_brand, 'no_orphan_image_files', 'warn', 1 FROM part GROUP BY 1""")
 def links_ir_gate(spark, sf):
     from ..operators import project
 
