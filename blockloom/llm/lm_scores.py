@@ -11,7 +11,7 @@ Rows of the exchange are packed: one row holds the n-grams of one chunk that fal
 hash, so the answer is a bare array of counts.  Chunks pre-aggregate, so a frequent n-gram sends one entry for a
 chunk however often it occurs.  All counts cover the whole corpus; nothing is pruned.
 
-N-grams are named by 64-bit hashes of their words (56 bits in a bucket).
+N-grams are named by 64-bit hashes of their words (48 bits in a bucket).
 
 Defined cases: a null or empty text has no words, sum 0 and a null mean; n-grams do not cross documents; the first
 words of a document have the histories that exist; a corpus of one document scores every word ``1 / 1``; repeated
@@ -30,7 +30,7 @@ from .storage import buckets, release, small_batches, stored
 
 ORDER = 2
 BACKOFF = 0.4
-CHUNK_WORDS = 500_000
+CHUNK_WORDS = 1_000_000
 _CHUNK = "chunk string,ids binary,n binary,words binary,codes binary"
 
 
@@ -93,14 +93,14 @@ def _explode(order: int, n_buckets: int):
                 b = keys % K.U64(n_buckets)
                 at = np.argsort(b, kind="stable")
                 for part in np.split(at, np.flatnonzero(np.diff(b[at])) + 1) if len(at) else ():
-                    yield K.table(schema, chunk=[row["chunk"]], bucket=[int(b[part[0]])], keys=[K.planes(keys[part] >> K.U64(8), 7)], counts=[K.planes(counts[part], 4)])
+                    yield K.table(schema, chunk=[row["chunk"]], bucket=[int(b[part[0]])], keys=[K.planes(keys[part] >> K.U64(16), 6)], counts=[K.planes(counts[part], 4)])
 
     return run
 
 
 def _sum(tab: pa.Table) -> pa.Table:
     rows = tab.select(["chunk", "bucket", "keys", "counts"]).to_pylist()
-    keys = [K.unplanes(r["keys"], 7) for r in rows]
+    keys = [K.unplanes(r["keys"], 6) for r in rows]
     own, at = np.unique(np.concatenate(keys), return_inverse=True)
     counts = np.concatenate([K.unplanes(r["counts"], 4).astype(np.int64) for r in rows])
     total = np.bincount(at, counts, minlength=len(own)).astype(np.int64)
@@ -172,6 +172,7 @@ def lm_scores(docs: DataFrame, *, order: int = ORDER, id_col: str = "doc_id", te
     # four bytes of planes per code: their number is the corpus size in words
     n_words = int(chunks.agg(F.sum(F.length("codes") / 4)).first()[0] or 0)
     grams = chunks.mapInArrow(_explode(order, n), "chunk string,bucket int,keys binary,counts binary")
-    totals = grams.groupBy("bucket").applyInArrow(_sum, "chunk string,bucket int,totals binary")
+    totals = stored(grams.groupBy("bucket").applyInArrow(_sum, "chunk string,bucket int,totals binary"), "lm-totals")
+    del grams  # what holds a plan holds its shuffle files
     release(spark)
     return chunks.groupBy("chunk").cogroup(totals.groupBy("chunk")).applyInArrow(_score(order, n, n_words), _DDL)
