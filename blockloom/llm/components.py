@@ -3,6 +3,9 @@
 Each round sends every node's larger neighbours to its least neighbour (large star), then its smaller ones (small
 star).  Edges only move towards smaller ids, so after some logarithmic number of rounds each node points at the least of
 its component.  Edges stay in tables; every round is written to the shared folder.
+
+Each partition first contracts its own edges.  What is left of a graph of at most ``ONE_TASK`` edges is contracted by one task
+instead of in rounds: the same components, and a fixed bound on what that task holds.
 """
 
 from __future__ import annotations
@@ -15,6 +18,9 @@ from . import kernel as K
 from .storage import stored
 
 
+ONE_TASK = 500_000
+
+
 def _contract(batches):
     """Within a partition, edges to the least node of each local component (union-find): same components, no more
     edges than nodes."""
@@ -40,11 +46,18 @@ def _contract(batches):
     yield K.table(K.arrow_schema("u long,v long"), u=nodes[pick], v=nodes[low[pick]])
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, one_task: int = ONE_TASK) -> DataFrame:
     """``(node, component)`` for every node of ``edges (a, b)``; the component is its least node."""
     e = edges.select(F.greatest("a", "b").cast("long").alias("u"), F.least("a", "b").cast("long").alias("v")).where("u <> v")
     e = stored(e.mapInArrow(_contract, "u long,v long").distinct(), "edges")  # u > v from here on
 
+    def labelled(e: DataFrame) -> DataFrame:
+        tops = e.select(F.col("v").alias("node")).distinct()
+        return e.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(tops.select("node", F.col("node").alias("component")))
+
+    if one_task and e.count() <= one_task:
+        return labelled(stored(e.coalesce(1).mapInArrow(_contract, "u long,v long"), "edges"))
+
     def star(pairs: DataFrame) -> DataFrame:
         """From (centre, neighbour): neighbour or centre to the least of the neighbourhood."""
         least = pairs.groupBy("c").agg(F.min("n").alias("m"))
@@ -61,5 +74,4 @@ def components(edges: DataFrame) -> DataFrame:
         if tuple(now) == before:
             break
         before = tuple(now)
-    tops = e.select(F.col("v").alias("node")).distinct()
-    return e.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(tops.select("node", F.col("node").alias("component")))
+    return labelled(e)

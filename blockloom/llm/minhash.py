@@ -7,12 +7,17 @@ near-duplicates are neighbours with a long common prefix.
 1. Trees are cut into regions by the first ``DEPTH`` min-hashes; where a region is crowded (``CROWD``) the depth
    grows, level by level, until it is not or the labels end.
 2. Neighbours in sorted order of a region are candidates, if their sizes and the agreement of their
-   signatures allow the threshold.  Each document keeps its best candidate; these links are confirmed on full
-   sets, and components formed.
+   signatures allow the threshold, and so are all members with the middle of their region, the one that agrees
+   most with the others: copies of one text may differ more from each other than from it.  Each document keeps
+   the candidate with the most votes and the one with the best agreement; these links are confirmed on full sets,
+   and components formed.
 3. With components known, the regions are read again: a pair of different components in a region is confirmed by its
    best pair; after that, every remaining pair between different components is confirmed.  Pairs within a
    component change nothing and are never made, so a group of thousands of copies costs linear work.
 
+Links are confirmed in blocks: candidates form families, families are dealt to blocks of some tens of megabytes, and
+a full set travels once to each pair of blocks that has a candidate pair of it, not once for each pair.
+
 All links that join what shares a region are thus found; two documents at the threshold miss each other in all trees
 with a probability of 1e-5 at most, in crowded regions more.
 
@@ -40,6 +45,8 @@ DEPTH = 3
 #: Labels of a region's members: DEPTH leading ones of 16 bits, then LABELS of 8 bits for deeper levels and agreement.
 LABELS = 32
 CROWD = 1024
+#: Bytes of full sets in one block of a family, on average.
+BLOCK_BYTES = 32 << 20
 _A = K.mix(np.arange(PERMS, dtype=K.U64) + K.U64(0xA11CE)) | K.U64(1)
 _B = K.mix(np.arange(PERMS, dtype=K.U64) + K.U64(0xB0B))
 _ORDER = np.stack([np.roll(np.arange(PERMS), -4 * t)[: DEPTH + LABELS] for t in range(TREES)])
@@ -175,8 +182,12 @@ def _regions(m: np.ndarray):
         todo += [(part[x], depth + 1) for x in np.split(sub, np.flatnonzero(np.diff(label[sub])) + 1) if len(x) > 1]
 
 
+def _agreement(labels: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    return (labels[rows][:, None, :] == labels[None, :, :]).sum(axis=2, dtype=np.uint8)
+
+
 def _neighbours(kind: np.dtype, rules: Rules):
-    """Candidates next to each other in sorted order, all regions at once."""
+    """Candidates (child, parent): neighbours in sorted order, and members with the middle of their region."""
 
     def run(tab: pa.Table) -> pa.Table:
         m = np.concatenate([np.frombuffer(x, kind) for x in tab["members"].to_pylist()])
@@ -185,8 +196,25 @@ def _neighbours(kind: np.dtype, rules: Rules):
         m = m[np.lexsort((*(deep[:, i] for i in range(deep.shape[1] - 1, -1, -1)), m["key"]))]
         agree = (m["labels"][1:] == m["labels"][:-1]).sum(axis=1)
         ok = (m["key"][1:] == m["key"][:-1]) & (agree >= rules.least) & rules.sizes(m["n"][1:], m["n"][:-1]) & (m["id"][1:] != m["id"][:-1])
-        a, b, w = m["id"][:-1][ok], m["id"][1:][ok], agree[ok]
-        return pa.Table.from_batches([K.table(K.arrow_schema("a long,b long,agree int"), a=np.minimum(a, b), b=np.maximum(a, b), agree=w.astype(np.int32))])
+        a, b = m["id"][:-1][ok], m["id"][1:][ok]
+        out = [np.stack([np.maximum(a, b), np.minimum(a, b), agree[ok], np.zeros(len(a), np.int64)])]
+        for part in _regions(m):
+            if len(part) < 3:
+                continue
+            r = m[part]
+            total, best, row = np.zeros(len(r), np.int64), -1, None
+            for x in range(0, len(r), 64):
+                rows = np.arange(x, min(x + 64, len(r)))
+                some = _agreement(r["labels"], rows)
+                close = np.where(some >= rules.least, some, 0)
+                total[rows] = close.sum(axis=1)
+                top = int(total[rows].argmax())
+                if total[rows[top]] > best:
+                    best, row, mid = total[rows[top]], some[top], rows[top]
+            hit = np.flatnonzero((row >= rules.least) & rules.sizes(r["n"], r["n"][mid]) & (r["id"] != r["id"][mid]))
+            out.append(np.stack([r["id"][hit], np.full(len(hit), r["id"][mid]), row[hit].astype(np.int64), np.ones(len(hit), np.int64)]))
+        child, parent, w, votes = np.concatenate(out, axis=1)
+        return pa.Table.from_batches([K.table(K.arrow_schema("child long,parent long,agree int,votes int"), child=child, parent=parent, agree=w.astype(np.int32), votes=votes.astype(np.int32))])
 
     return run
 
@@ -215,10 +243,11 @@ def _between(kind: np.dtype, rules: Rules, best: bool):
             few = np.flatnonzero(comp != major)
             for x in range(0, len(few), 64):
                 own = few[x : x + 64]
-                agree = (r["labels"][own][:, None, :] == r["labels"][None, :, :]).sum(axis=2)
+                agree = _agreement(r["labels"], own)
                 ok = (agree >= rules.least) & (comp[own][:, None] != comp[None, :]) & rules.sizes(r["n"][own][:, None], r["n"][None, :])
                 i, j = np.nonzero(ok)
-                i, w = own[i], agree[i, j]
+                w = agree[i, j].astype(np.int64)
+                i = own[i]
                 once = (comp[j] == major) | (i < j)
                 i, j, w = i[once], j[once], w[once]
                 if len(i):
@@ -236,15 +265,32 @@ def _between(kind: np.dtype, rules: Rules, best: bool):
 
 
 def _confirm(percent: int):
-    def run(batches):
-        schema = K.arrow_schema("a long,b long,linked boolean")
-        for rb in batches:
-            linked = []
-            for x, y in zip(rb.column(2).to_pylist(), rb.column(3).to_pylist()):
-                x, y = K.unplanes(x, 5), K.unplanes(y, 5)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                linked.append(100 * both >= percent * (len(x) + len(y) - both))
-            yield K.table(schema, a=rb.column(0), b=rb.column(1), linked=linked)
+    """Candidate pairs of one pair of blocks that reach the threshold, from the sets of its documents."""
+
+    def run(pairs: pa.Table, sets: pa.Table) -> pa.Table:
+        held = dict(zip(sets["doc_id"].to_pylist(), (K.unplanes(x, 5) for x in sets["shingles"].to_pylist())))
+        top: dict[int, int] = {}
+
+        def root(x: int) -> int:
+            while top.setdefault(x, x) != x:
+                top[x] = top[top[x]]
+                x = top[x]
+            return x
+
+        out = []
+        for a, b in zip(pairs["a"].to_pylist(), pairs["b"].to_pylist()):
+            ra, rb = root(a), root(b)
+            if ra == rb:
+                continue  # linked already: the pair changes nothing
+            x, y = held[a], held[b]
+            if len(x) > len(y):
+                x, y = y, x
+            at = np.searchsorted(y, x)
+            both = int((y[np.minimum(at, len(y) - 1)] == x).sum())
+            if 100 * both >= percent * (len(x) + len(y) - both):
+                top[max(ra, rb)] = min(ra, rb)
+                out.append((a, b))
+        return pa.table({"a": pa.array([x for x, _ in out], pa.int64()), "b": pa.array([y for _, y in out], pa.int64())})
 
     return run
 
@@ -264,39 +310,49 @@ def near_duplicates(docs: DataFrame, *, size: int = 5, percent: int = 80, id_col
     n_buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n * TREES // 500_000))
     forest, kind = _forest(n_buckets)
 
-    def regions(labels: DataFrame | None, method) -> DataFrame:
+    def regions(labels: DataFrame | None, method, ddl: str) -> DataFrame:
         members = reps.select("rep", F.col("n_shingles").cast("int").alias("n"), "signature")
         if labels is not None:
             members = members.join(labels.withColumnRenamed("node", "rep"), "rep", "left")
         comp = F.col("rep") if labels is None else F.coalesce("component", "rep")
         packed = members.select("rep", "n", "signature", comp.alias("component")).mapInArrow(forest, "bucket int,members binary")
-        return packed.groupBy("bucket").applyInArrow(method, "a long,b long,agree int")
+        return packed.groupBy("bucket").applyInArrow(method, ddl)
 
-    near = stored(regions(None, _neighbours(kind, rules)).groupBy("a", "b").agg(F.max("agree").alias("agree")), "minhash-candidates")
+    near = stored(regions(None, _neighbours(kind, rules), "child long,parent long,agree int,votes int").groupBy("child", "parent").agg(F.max("agree").alias("agree"), F.sum("votes").alias("votes")), "minhash-candidates")
     release(spark)
-    # each document's best candidate with a smaller id: no more links than documents
-    parents = near.groupBy("b").agg(F.max_by("a", F.struct("agree", "a")).alias("a")).select("a", "b")
-    with_pairs = near.select(F.col("a").alias("doc_id")).unionByName(near.select(F.col("b").alias("doc_id"))).distinct()
-    texts = rows.join(with_pairs, "doc_id", "left_semi")
-    sets = stored(texts.mapInArrow(_sets(size), "doc_id long,shingles binary").dropDuplicates(["doc_id"]), "minhash-shingles")
+    by = lambda *c: F.max_by("parent", F.struct(*c, "parent"))
+    chosen = near.groupBy("child").agg(F.array_distinct(F.array(by("votes", "agree"), by("agree"))).alias("p")).select("child", F.explode("p").alias("parent"))
+    parents = stored(chosen.select(F.least("child", "parent").alias("a"), F.greatest("child", "parent").alias("b")).distinct(), "minhash-parents")
+    with_pairs = near.select(F.explode(F.array("child", "parent")).alias("doc_id")).distinct()
+    sets = stored(rows.join(with_pairs, "doc_id", "left_semi").mapInArrow(_sets(size), "doc_id long,shingles binary").dropDuplicates(["doc_id"]), "minhash-shingles")
     release(spark)
 
     def confirmed(pairs: DataFrame) -> DataFrame:
-        a = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x"))
-        b = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("y"))
-        return pairs.select("a", "b").distinct().join(a, "a").join(b, "b").select("a", "b", "x", "y").mapInArrow(_confirm(percent), "a long,b long,linked boolean").where("linked").select("a", "b")
-
-    links = stored(confirmed(parents), "minhash-links")
+        """Links among candidate pairs.  Pairs that hang together are a family; a family is one block, or more by weight."""
+        family = components(pairs)
+        weights = family.join(reps.select(F.col("rep").alias("node"), "n_shingles"), "node")
+        sizes = weights.groupBy("component").agg(F.ceil(5 * F.sum("n_shingles") / BLOCK_BYTES).cast("long").alias("k"))
+        block = F.xxhash64("component", F.pmod(F.xxhash64("node"), F.col("k")))
+        blocks = stored(family.join(sizes, "component").select("node", block.alias("block")), "minhash-blocks")
+        at = lambda c: blocks.select(F.col("node").alias(c), F.col("block").alias("block_" + c))
+        placed = pairs.join(at("a"), "a").join(at("b"), "b")
+        placed = stored(placed.select("a", "b", F.xxhash64(F.least("block_a", "block_b"), F.greatest("block_a", "block_b")).alias("pair")), "minhash-pairs")
+        needed = placed.select(F.col("pair").alias("of"), F.inline(F.array(F.struct(F.col("a").alias("doc_id")), F.struct(F.col("b").alias("doc_id"))))).distinct()
+        got = placed.groupBy("pair").cogroup(needed.join(sets, "doc_id").select("of", "doc_id", "shingles").groupBy("of")).applyInArrow(_confirm(percent), "a long,b long")
+        return stored(got, "minhash-links")
+
+    links = confirmed(parents)
+    release(spark)
     labels = components(links)
     for best in (True, False):
-        pairs = stored(regions(labels, _between(kind, rules, best)).select("a", "b").distinct(), "minhash-between")
+        pairs = stored(regions(labels, _between(kind, rules, best), "a long,b long,agree int").select("a", "b").distinct(), "minhash-between")
         if pairs.isEmpty():
             break
         missing = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct().join(sets.select("doc_id"), "doc_id", "left_anti")
         if not missing.isEmpty():
             more = rows.join(missing, "doc_id", "left_semi").mapInArrow(_sets(size), "doc_id long,shingles binary").dropDuplicates(["doc_id"])
             sets = sets.unionByName(stored(more, "minhash-shingles"))
-        links = links.unionByName(stored(confirmed(pairs), "minhash-links"))
+        links = links.unionByName(confirmed(pairs))
         labels = components(links)
         release(spark)
     tops = reps.select("n_shingles", "set_hash", "rep").join(labels.withColumnRenamed("node", "rep"), "rep", "left").select("n_shingles", "set_hash", F.coalesce("component", "rep").alias("component_id"))

@@ -108,14 +108,15 @@ def test_near_duplicates(docs, empty, size):
     assert minhash.near_duplicates(empty, size=size).count() == 0
 
 
-def test_components(spark):
+@pytest.mark.parametrize("one_task", [0, 10_000])
+def test_components(spark, one_task):
     rng = random.Random(2)
     edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(200)] + [(1000 + i, 1001 + i) for i in range(50)]
     top = {n: n for e in edges for n in e}
     for _ in range(400):
         for a, b in edges:
             top[a] = top[b] = min(top[a], top[b])
-    got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long").repartition(4)).collect()}
+    got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long").repartition(4), one_task).collect()}
     assert got == {n: top[n] for a, b in edges if a != b for n in (a, b)}
 
 
