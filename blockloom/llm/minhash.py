@@ -4,22 +4,22 @@ A document is the set of its distinct shingles.  Equal sets are one representati
 representative has ``PERMS`` min-hashes; a tree of the forest reads them in its own order, and in sorted signature order
 near-duplicates are neighbours with a long common prefix.
 
-1. Trees are cut into regions by the first ``DEPTH`` min-hashes; where a region is crowded (``CROWD``) the depth
-   grows, level by level, until it is not or the labels end.
+1. Trees are cut into regions by the first ``DEPTH`` min-hashes.
 2. Neighbours in sorted order of a region are candidates, if their sizes and the agreement of their
    signatures allow the threshold, and so are all members with the middle of their region, the one that agrees
-   most with the others: copies of one text may differ more from each other than from it.  Each document keeps
-   the candidate with the most votes and the one with the best agreement; these links are confirmed on full sets,
-   and components formed.
-3. With components known, the regions are read again: a pair of different components in a region is confirmed by its
-   best pair; after that, every remaining pair between different components is confirmed.  Pairs within a
-   component change nothing and are never made, so a group of thousands of copies costs linear work.
+   most with the others: copies of one text may differ more from each other than from it.  For middles alone a
+   crowded region (``CROWD``) is cut deeper.  Each document keeps the candidate with the most votes and the one with
+   the best agreement; these links are confirmed on full sets, and components formed.
+3. With components known, the regions are read again, whole, however crowded: rows against rows in blocks.  First each
+   component is confirmed with its best partner in a region, then each pair of different components by its best
+   pair, then every remaining pair between different components.  Pairs within a component change nothing and are
+   never made, so a group of thousands of copies that hang together costs linear work.
 
 Links are confirmed in blocks: candidates form families, families are dealt to blocks of some tens of megabytes, and
 a full set travels once to each pair of blocks that has a candidate pair of it, not once for each pair.
 
-All links that join what shares a region are thus found; two documents at the threshold miss each other in all trees
-with a probability of 1e-5 at most, in crowded regions more.
+All links that join what shares a region are thus found; two documents at the threshold share no region in any tree
+with a probability of 1e-5 at most, whatever the size of the regions.
 
 Full sets are 40-bit hashes of shingles, gathered once for documents that have a candidate.
 
@@ -30,6 +30,8 @@ kept, with a null component; other columns are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -44,9 +46,14 @@ TREES = 16
 DEPTH = 3
 #: Labels of a region's members: DEPTH leading ones of 16 bits, then LABELS of 8 bits for deeper levels and agreement.
 LABELS = 32
+#: Members of a region that share one middle, in the first search only.
 CROWD = 1024
+#: Pairs that are compared at once.
+AT_ONCE = 4 << 20
 #: Bytes of full sets in one block of a family, on average.
 BLOCK_BYTES = 32 << 20
+#: Candidate pairs between two blocks of a family, on average.
+BLOCK_PAIRS = 1 << 20
 _A = K.mix(np.arange(PERMS, dtype=K.U64) + K.U64(0xA11CE)) | K.U64(1)
 _B = K.mix(np.arange(PERMS, dtype=K.U64) + K.U64(0xB0B))
 _ORDER = np.stack([np.roll(np.arange(PERMS), -4 * t)[: DEPTH + LABELS] for t in range(TREES)])
@@ -169,7 +176,7 @@ class Rules:
 
 
 def _regions(m: np.ndarray):
-    """Indices of each region's members, crowded regions cut deeper."""
+    """Indices of each region's members, crowded regions cut deeper: for middles, never for the pairs that decide."""
     order = np.argsort(m["key"], kind="stable")
     todo = [(part, 0) for part in np.split(order, np.flatnonzero(np.diff(m["key"][order])) + 1) if len(part) > 1]
     while todo:
@@ -183,7 +190,11 @@ def _regions(m: np.ndarray):
 
 
 def _agreement(labels: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    return (labels[rows][:, None, :] == labels[None, :, :]).sum(axis=2, dtype=np.uint8)
+    """Equal labels of some members with all; ``labels`` has a line for each label."""
+    out = np.zeros((len(rows), labels.shape[1]), np.uint8)
+    for line in labels:
+        out += line[rows][:, None] == line[None, :]
+    return out
 
 
 def _neighbours(kind: np.dtype, rules: Rules):
@@ -202,10 +213,11 @@ def _neighbours(kind: np.dtype, rules: Rules):
             if len(part) < 3:
                 continue
             r = m[part]
+            labels = np.ascontiguousarray(r["labels"].T)
             total, best, row = np.zeros(len(r), np.int64), -1, None
             for x in range(0, len(r), 64):
                 rows = np.arange(x, min(x + 64, len(r)))
-                some = _agreement(r["labels"], rows)
+                some = _agreement(labels, rows)
                 close = np.where(some >= rules.least, some, 0)
                 total[rows] = close.sum(axis=1)
                 top = int(total[rows].argmax())
@@ -219,47 +231,58 @@ def _neighbours(kind: np.dtype, rules: Rules):
     return run
 
 
-def _between(kind: np.dtype, rules: Rules, best: bool):
-    """Candidate pairs of different components in a region: all, or the best for two components."""
+def _between(kind: np.dtype, rules: Rules, how: str):
+    """Candidate pairs of different components in a region: ``all``, the ``best`` for two components, or for ``each``
+    component its best.  Regions are never cut here."""
 
-    def run(tab: pa.Table) -> pa.Table:
-        m = np.concatenate([np.frombuffer(x, kind) for x in tab["members"].to_pylist()])
+    schema = K.arrow_schema("a long,b long,agree int")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = np.concatenate([np.zeros(0, kind), *(np.frombuffer(x, kind) for rb in batches for x in rb.column(rb.schema.get_field_index("members")).to_pylist())])
         m = m[K.duplicated(m["key"])]
-        out = []
+        if not len(m):
+            return
         order = np.argsort(m["key"], kind="stable")
-        start = np.flatnonzero(np.concatenate([[True], np.diff(m["key"][order]) != 0])) if len(m) else np.zeros(0, np.int64)
-        if len(m):
-            c = m["component"][order]
-            mixed = np.minimum.reduceat(c, start) != np.maximum.reduceat(c, start)
-            keep = np.repeat(mixed, np.diff(np.append(start, len(m))))
-            m = m[order[keep]]
-        for part in _regions(m):
-            r = m[part]
+        start = np.flatnonzero(np.concatenate([[True], np.diff(m["key"][order]) != 0]))
+        c = m["component"][order]
+        mixed = np.minimum.reduceat(c, start) != np.maximum.reduceat(c, start)
+        ends = np.append(start[1:], len(m))
+        for x, y in zip(start[mixed], ends[mixed]):
+            r = m[order[x:y]]
+            labels = np.ascontiguousarray(r["labels"].T)
             _, comp = np.unique(r["component"], return_inverse=True)
-            if comp.max() == 0:
-                continue
             # rows against rows in blocks; the largest component is not compared with itself
             major = np.bincount(comp).argmax()
             few = np.flatnonzero(comp != major)
-            for x in range(0, len(few), 64):
-                own = few[x : x + 64]
-                agree = _agreement(r["labels"], own)
+            few = few[np.argsort(comp[few], kind="stable")]
+            step = max(1, AT_ONCE // len(r))
+            for at in range(0, len(few), step):
+                own = few[at : at + step]
+                agree = _agreement(labels, own)
                 ok = (agree >= rules.least) & (comp[own][:, None] != comp[None, :]) & rules.sizes(r["n"][own][:, None], r["n"][None, :])
-                i, j = np.nonzero(ok)
-                w = agree[i, j].astype(np.int64)
-                i = own[i]
-                once = (comp[j] == major) | (i < j)
-                i, j, w = i[once], j[once], w[once]
-                if len(i):
-                    if best:
+                if how == "each":
+                    agree[~ok] = 0
+                    i, j = np.arange(len(own)), agree.argmax(axis=1)
+                    w = agree[i, j].astype(np.int64)
+                    i = own
+                    o = np.lexsort((-w, comp[i]))
+                    o = o[np.concatenate([[True], np.diff(comp[i][o]) != 0])]
+                    o = o[w[o] > 0]
+                    i, j, w = i[o], j[o], w[o]
+                else:
+                    i, j = np.nonzero(ok)
+                    w = agree[i, j].astype(np.int64)
+                    i = own[i]
+                    once = (comp[j] == major) | (i < j)
+                    i, j, w = i[once], j[once], w[once]
+                    if how == "best" and len(i):
                         lo, hi = np.minimum(comp[i], comp[j]), np.maximum(comp[i], comp[j])
                         o = np.lexsort((-w, hi, lo))
                         o = o[np.concatenate([[True], (lo[o][1:] != lo[o][:-1]) | (hi[o][1:] != hi[o][:-1])])]
                         i, j, w = i[o], j[o], w[o]
+                if len(i):
                     a, b = r["id"][i], r["id"][j]
-                    out.append(np.stack([np.minimum(a, b), np.maximum(a, b), w]))
-        a, b, w = np.concatenate(out, axis=1) if out else np.zeros((3, 0), np.int64)
-        return pa.Table.from_batches([K.table(K.arrow_schema("a long,b long,agree int"), a=a, b=b, agree=w.astype(np.int32))])
+                    yield K.table(schema, a=np.minimum(a, b), b=np.maximum(a, b), agree=w.astype(np.int32))
 
     return run
 
@@ -332,6 +355,8 @@ def near_duplicates(docs: DataFrame, *, size: int = 5, percent: int = 80, id_col
         family = components(pairs)
         weights = family.join(reps.select(F.col("rep").alias("node"), "n_shingles"), "node")
         sizes = weights.groupBy("component").agg(F.ceil(5 * F.sum("n_shingles") / BLOCK_BYTES).cast("long").alias("k"))
+        many = pairs.groupBy(F.col("a").alias("node")).count().join(family, "node").groupBy("component").agg(F.ceil(F.sqrt(F.sum("count") / BLOCK_PAIRS)).cast("long").alias("by_pairs"))
+        sizes = sizes.join(many, "component").select("component", F.greatest("k", "by_pairs").alias("k"))
         block = F.xxhash64("component", F.pmod(F.xxhash64("node"), F.col("k")))
         blocks = stored(family.join(sizes, "component").select("node", block.alias("block")), "minhash-blocks")
         at = lambda c: blocks.select(F.col("node").alias(c), F.col("block").alias("block_" + c))
@@ -344,8 +369,8 @@ def near_duplicates(docs: DataFrame, *, size: int = 5, percent: int = 80, id_col
     links = confirmed(parents)
     release(spark)
     labels = components(links)
-    for best in (True, False):
-        pairs = stored(regions(labels, _between(kind, rules, best), "a long,b long,agree int").select("a", "b").distinct(), "minhash-between")
+    for how in ("each", "best", "all"):
+        pairs = stored(regions(labels, _between(kind, rules, how), "a long,b long,agree int").select("a", "b").distinct(), "minhash-between")
         if pairs.isEmpty():
             break
         missing = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct().join(sets.select("doc_id"), "doc_id", "left_anti")

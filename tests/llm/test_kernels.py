@@ -11,7 +11,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from blockloom.llm import hilbert_search, kernel as K, packing, quality, sentencepieces, substring_dedup, suffix_dedup, toxicity
+from blockloom.llm import hilbert_search, kernel as K, minhash, packing, quality, sentencepieces, substring_dedup, suffix_dedup, toxicity
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -164,3 +164,26 @@ def test_encoding_equals_the_library(data):
     texts = ["", " ", "  a", "ab abc  cab"] + ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 40))) for _ in range(500)] + ["ab" * 2000]
     assert m.encode(texts) == sp.encode(texts)
     assert [m.decode(x) for x in m.encode(texts)] == sp.decode(sp.encode(texts))
+
+
+def test_crowded_regions_lose_no_pair(monkeypatch):
+    monkeypatch.setattr(minhash, "CROWD", 2)
+    rng = random.Random(4)
+    base = [f"w{i}" for i in range(200)]
+    texts = []
+    for _ in range(80):  # about the threshold from each other
+        w = list(base)
+        for k in rng.sample(range(200), 5):
+            w[k] = f"x{rng.random()}"
+        texts.append(" ".join(w))
+    h, doc, n = minhash.shingles(*slice_of(texts), 2)
+    sig = minhash.signatures(h, n)
+    forest, kind = minhash._forest(1)
+    rb = pa.record_batch({"rep": pa.array(range(80), pa.int64()), "n": pa.array(n, pa.int32()), "signature": pa.array([x.tobytes() for x in sig]), "component": pa.array(range(80), pa.int64())})
+    members = list(forest([rb]))
+    sets = [set(h[doc == i].tolist()) for i in range(80)]
+    lead = sig[:, minhash._ORDER[:, : minhash.DEPTH]] >> np.uint32(16)
+    like = {(i, j) for j in range(80) for i in range(j) if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]) and (lead[i] == lead[j]).all(axis=1).any()}
+    made = lambda how: {p for rb in minhash._between(kind, minhash.Rules(80), how)(iter(members)) for p in zip(rb.column(0).to_pylist(), rb.column(1).to_pylist())}
+    assert len(like) > 300 and like <= made("all")
+    assert made("best") == made("all") and {i for p in made("each") for i in p} == {i for p in made("all") for i in p}
