@@ -7,9 +7,10 @@ words to events and are composed: INSULT and THREAT produce the core, TARGET att
 REPORTED rewrite a core in their scope.  Each accepted path has a weight learned by logistic regression on the
 training sample, and the score of a document is the logistic function of the weights of its matched clauses.
 
-A lexicon entry must be frequent and pure among toxic training documents and must appear in many different
-contexts (neighbouring words): words of one text copied many times appear always in the same context and do
-not qualify.
+A lexicon entry must be frequent and pure among toxic training documents and must appear in some different
+contexts (two words to either side).  Equal texts count once, and so does one context however many texts hold it:
+words of one text copied many times appear always in the same context and do not qualify, and copies do not
+outweigh the other texts that hold a word.
 
 Training takes a sample with a fixed bound (``SAMPLE`` labelled documents by hash order, each of at most
 ``SAMPLE_BYTES`` bytes), so the driver holds no more at any corpus size; scoring reads every whole text.
@@ -174,43 +175,65 @@ def _chunks(texts: list[bytes], size: int = 256):
 
 
 def _features(texts: list[bytes]):
-    """For chunks of texts: ``(is stem, hash, document, hash of the word before)``, each feature once per document."""
+    """For chunks of texts: ``(is stem, hash, hash of the two words on either side)``, each feature once per document."""
     for base, data, offs in _chunks(texts):
         low, start, end = letters(data, offs)
         if not len(start):
             continue
         ranges, doc = K.Ranges(K.BYTE_HASH[low]), K.owner(offs, start)
         h = ranges(start, end)
-        left = np.concatenate([[K.U64(0)], h[:-1]])
+        around = np.zeros(len(h), K.U64)
+        for step in (-2, -1, 1, 2):
+            at = np.clip(np.arange(len(h)) + step, 0, len(h) - 1)
+            inside = (at == np.arange(len(h)) + step) & (doc[at] == doc)
+            around = K.mix(around * K.U64(3) ^ np.where(inside, h[at], K.U64(0)))
         for n in (0, *STEMS):
             pick = np.flatnonzero(end - start > n) if n else np.arange(len(start))
             key = ranges(start[pick], start[pick] + n) if n else h
             _, one = np.unique(K.mix(key ^ K.mix(doc[pick].astype(K.U64) + K.U64(1))), return_index=True)
-            yield n > 0, key[one], left[pick][one]
+            yield n > 0, key[one], around[pick][one]
 
 
 def lexicon(texts: list[bytes], toxic: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the toxic words and of the toxic word beginnings of a labelled sample."""
-    bad_parts = [(np.full(len(k), s), k, c) for s, k, c in _features([t for t, y in zip(texts, toxic) if y])]
+    bad_texts = list(dict.fromkeys(t for t, y in zip(texts, toxic) if y))
+    good_texts = list(dict.fromkeys(t for t, y in zip(texts, toxic) if not y))
+    bad_parts = [(np.full(len(k), s), k, c) for s, k, c in _features(bad_texts)]
     none = np.zeros(0, K.U64)
     if not bad_parts:
         return none, none
-    stem, key, left = (np.concatenate(x) for x in zip(*bad_parts))
-    keys, index, n_bad = np.unique(key, return_inverse=True, return_counts=True)
+    stem, key, around = (np.concatenate(x) for x in zip(*bad_parts))
+    keys, index, n_texts = np.unique(key, return_inverse=True, return_counts=True)
     is_stem = np.zeros(len(keys), bool)
     is_stem[index] = stem
-    pairs = np.unique(K.mix(left ^ K.mix(key)), return_index=True)[1]
-    contexts = np.bincount(index[pairs], minlength=len(keys))
-    # In copies of one text the contexts of a word stay few; a planted word has nearly one for each document.
-    some = (n_bad >= MIN_DOCS) & (contexts >= np.maximum(MIN_CONTEXTS, 0.3 * n_bad))
+    pairs = np.unique(K.mix(around ^ K.mix(key)), return_index=True)[1]
+    # distinct contexts: near copies of one text add few, other texts nearly one each
+    n_bad = np.bincount(index[pairs], minlength=len(keys))
+    some = (n_texts >= MIN_DOCS) & (n_bad >= MIN_CONTEXTS)
     keys, is_stem, n_bad = keys[some], is_stem[some], n_bad[some]
     n_good = np.zeros(len(keys), np.int64)
-    for _, k, _ in _features([t for t, y in zip(texts, toxic) if not y]):
-        at = np.searchsorted(keys, k)
-        at = at[(at < len(keys)) & (keys[np.minimum(at, len(keys) - 1)] == k)] if len(keys) else at[:0]
-        n_good += np.bincount(at, minlength=len(keys))
-    ratio = (n_bad / max(1, toxic.sum())) / ((n_good + 0.5) / max(1, (1 - toxic).sum()))
-    good = (ratio >= 20) & (n_good <= 0.02 * n_bad)
+    alive = np.ones(len(keys), bool)
+    pair, own, held = none, np.zeros(0, np.int64), []
+
+    def settle():
+        """Count the distinct contexts so far; what is too frequent among good texts already stays out."""
+        nonlocal pair, own
+        pair, at = np.unique(np.concatenate([pair, *(x for x, _ in held)]), return_index=True)
+        own = np.concatenate([own, *(x for _, x in held)])[at]
+        n_good[alive] = np.bincount(own, minlength=len(keys))[alive]
+        alive[n_good > 0.02 * n_bad] = False
+        pair, own = pair[alive[own]], own[alive[own]]
+        held.clear()
+
+    for _, k, c in _features(good_texts) if len(keys) else ():
+        at = np.minimum(np.searchsorted(keys, k), len(keys) - 1)
+        hit = (keys[at] == k) & alive[at]
+        held.append((K.mix(c[hit] ^ K.mix(k[hit])), at[hit]))
+        if sum(len(x) for x, _ in held) > 500_000:
+            settle()
+    settle()
+    ratio = (n_bad / max(1, len(bad_texts))) / ((n_good + 0.5) / max(1, len(good_texts)))
+    good = (ratio >= 20) & alive
     good[np.argsort(-n_bad * good, kind="stable")[MAX_LEXICON:]] = False
     return keys[good & ~is_stem], keys[good & is_stem]
 

@@ -187,3 +187,16 @@ def test_crowded_regions_lose_no_pair(monkeypatch):
     made = lambda how: {p for rb in minhash._between(kind, minhash.Rules(80), how)(iter(members)) for p in zip(rb.column(0).to_pylist(), rb.column(1).to_pylist())}
     assert len(like) > 300 and like <= made("all")
     assert made("best") == made("all") and {i for p in made("each") for i in p} == {i for p in made("all") for i in p}
+
+
+def test_lexicon_keeps_a_word_of_many_copies_and_few_left_words():
+    rng = random.Random(1)
+    word = lambda: "".join(rng.choice("aeinrst") for _ in range(rng.randint(3, 7)))
+    text = lambda n: " ".join(word() for _ in range(n))
+    good = [text(40) for _ in range(400)]
+    copy = f"{text(20)} scumbag {text(20)}"
+    others = [f"{text(20)} {word()} scumbag {text(20)}" for _ in range(40)]
+    led = [f"{text(20)} {rng.choice(['you', 'a', 'the'])} dimwit {text(20)}" for _ in range(60)]
+    texts = [t.encode() for t in good + [copy] * 300 + others + led]
+    words, _ = toxicity.lexicon(texts, np.array([0] * 400 + [1] * 400))
+    assert toxicity.word_hash("scumbag") in words and toxicity.word_hash("dimwit") in words
