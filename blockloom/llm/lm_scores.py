@@ -7,6 +7,7 @@ other document has.  The result holds sums and means of decimal logarithms.
 
 Relationally: documents explode to distinct n-grams per chunk with counts; the count table is partitioned by the
 hash of the n-gram and summed; it is joined back to the n-grams of each chunk; each document sums over its own.
+One order is exchanged at a time, and its shuffle files are released before the next.
 Rows of the exchange are packed: one row holds the n-grams of one chunk that fall to one bucket, in order of
 hash, so the answer is a bare array of counts.  Chunks pre-aggregate, so a frequent n-gram sends one entry for a
 chunk however often it occurs.  All counts cover the whole corpus; nothing is pruned.
@@ -28,7 +29,7 @@ from pyspark.sql import functions as F
 from . import kernel as K
 from .storage import buckets, release, small_batches, stored
 
-ORDER = 2
+ORDER = 3
 BACKOFF = 0.4
 CHUNK_WORDS = 1_000_000
 _CHUNK = "chunk string,ids binary,n binary,words binary,codes binary"
@@ -89,7 +90,7 @@ def _explode(order: int, n_buckets: int):
         for rb in batches:
             for row in rb.to_pylist():
                 c = Chunk(row)
-                keys, counts = np.unique(np.concatenate([c.grams(k)[1] for k in range(1, order + 1)]), return_counts=True)
+                keys, counts = np.unique(c.grams(order)[1], return_counts=True)
                 b = keys % K.U64(n_buckets)
                 at = np.argsort(b, kind="stable")
                 for part in np.split(at, np.flatnonzero(np.diff(b[at])) + 1) if len(at) else ():
@@ -98,6 +99,9 @@ def _explode(order: int, n_buckets: int):
     return run
 
 
+_TOTALS = "chunk string,bucket int,totals binary"
+
+
 def _sum(tab: pa.Table) -> pa.Table:
     rows = tab.select(["chunk", "bucket", "keys", "counts"]).to_pylist()
     keys = [K.unplanes(r["keys"], 6) for r in rows]
@@ -105,7 +109,7 @@ def _sum(tab: pa.Table) -> pa.Table:
     counts = np.concatenate([K.unplanes(r["counts"], 4).astype(np.int64) for r in rows])
     total = np.bincount(at, counts, minlength=len(own)).astype(np.int64)
     parts = np.split(total[at], np.cumsum([len(k) for k in keys])[:-1])
-    schema = K.arrow_schema("chunk string,bucket int,totals binary")
+    schema = K.arrow_schema(_TOTALS)
     return pa.Table.from_batches([K.table(schema, chunk=[r["chunk"] for r in rows], bucket=[r["bucket"] for r in rows], totals=[K.planes(p, 6) for p in parts])])
 
 
@@ -122,22 +126,22 @@ def _score(order: int, n_buckets: int, n_words: int):
     def run(chunks: pa.Table, totals: pa.Table) -> pa.Table:
         schema = K.arrow_schema(_DDL)
         answers = {}
-        for r in totals.select(["chunk", "bucket", "totals"]).to_pylist():
-            answers.setdefault(r["chunk"], []).append((r["bucket"], r["totals"]))
+        for r in totals.select(["chunk", "size", "bucket", "totals"]).to_pylist():
+            answers.setdefault((r["chunk"], r["size"]), []).append((r["bucket"], r["totals"]))
         out = []
         for row in chunks.to_pylist():
             c = Chunk(row)
             grams = [c.grams(k) for k in range(1, order + 1)]
-            keys = np.unique(np.concatenate([h for _, h in grams]))
-            at = np.argsort(keys % K.U64(n_buckets), kind="stable")
-            total = np.zeros(len(keys), np.int64)
-            if len(keys):
-                total[at] = np.concatenate([K.unplanes(t, 6).astype(np.int64) for _, t in sorted(answers[row["chunk"]])])
             n = len(c.words)
             rest = np.maximum(1, n_words - c.n[c.doc])
             # from the shortest history on: a longer one replaces the score where its n-gram remains
             others = []
-            for pos, h in grams:
+            for size, (pos, h) in enumerate(grams, 1):
+                keys = np.unique(h)
+                at = np.argsort(keys % K.U64(n_buckets), kind="stable")
+                total = np.zeros(len(keys), np.int64)
+                if len(keys):
+                    total[at] = np.concatenate([K.unplanes(t, 6).astype(np.int64) for _, t in sorted(answers[row["chunk"], size])])
                 left = np.zeros(n, np.int64)
                 left[pos] = total[np.searchsorted(keys, h)] - _own(h, c.doc[pos])
                 others.append(left)
@@ -171,8 +175,11 @@ def lm_scores(docs: DataFrame, *, order: int = ORDER, id_col: str = "doc_id", te
     chunks = stored(rows.mapInArrow(_chunks, _CHUNK), "lm-chunks")
     # four bytes of planes per code: their number is the corpus size in words
     n_words = int(chunks.agg(F.sum(F.length("codes") / 4)).first()[0] or 0)
-    grams = chunks.mapInArrow(_explode(order, n), "chunk string,bucket int,keys binary,counts binary")
-    totals = stored(grams.groupBy("bucket").applyInArrow(_sum, "chunk string,bucket int,totals binary"), "lm-totals")
-    del grams  # what holds a plan holds its shuffle files
-    release(spark)
+    totals = None
+    for k in range(1, order + 1):
+        grams = chunks.mapInArrow(_explode(k, n), "chunk string,bucket int,keys binary,counts binary")
+        part = stored(grams.groupBy("bucket").applyInArrow(_sum, _TOTALS), "lm-totals").withColumn("size", F.lit(k))
+        totals = part if totals is None else totals.unionByName(part)
+        del grams  # what holds a plan holds its shuffle files
+        release(spark)
     return chunks.groupBy("chunk").cogroup(totals.groupBy("chunk")).applyInArrow(_score(order, n, n_words), _DDL)

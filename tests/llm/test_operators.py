@@ -144,6 +144,15 @@ def test_lm_scores(docs, empty, order):
     assert lm_scores.lm_scores(empty).count() == 0
 
 
+def test_registered_order(docs, tmp_path):
+    from blockloom.llm import queries
+
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    scores = lambda df: sorted((r.doc_id, round(r.log_score, 6)) for r in df.collect())
+    got = scores(queries.op1_stupid_backoff(docs.sparkSession, str(tmp_path)))
+    assert got == scores(lm_scores.lm_scores(docs, order=3)) and got != scores(lm_scores.lm_scores(docs, order=2))
+
+
 def test_sentencepieces_round_trip(docs, empty):
     from tests.llm.test_kernels import unigram_model
 
