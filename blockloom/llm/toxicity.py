@@ -290,17 +290,19 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     return fit([r[2].encode() for r in sample], np.array([r[1] for r in sample], np.int64))
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, held_out, score, predicted`` and the number of matched clauses for every row of ``docs``."""
+def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", key_col: str | None = None) -> DataFrame:
+    """``doc_id, held_out, score, predicted`` and the number of matched clauses for every row of ``docs``, with its
+    ``key_col`` if one is named."""
     small_batches(docs.sparkSession)
     g = train(docs, labels, id_col, text_col)
-    ddl = "doc_id long,held_out boolean,score double,n_matched long"
+    keys = [key_col] if key_col else []
+    ddl = "doc_id long,held_out boolean,score double,n_matched long" + "".join(f",{k} long" for k in keys)
 
     def scored(batches):
         schema = K.arrow_schema(ddl)
         for rb, data, offs in K.slices(batches, "text"):
             c = g.events(data, offs)
-            yield K.table(schema, doc_id=rb.column(0), held_out=rb.column(1), score=g.score(c), n_matched=c.sum(axis=1))
+            yield K.table(schema, doc_id=rb.column(0), held_out=rb.column(1), score=g.score(c), n_matched=c.sum(axis=1), **{k: rb.column(rb.schema.get_field_index(k)) for k in keys})
 
-    rows = docs.select(docs[id_col].cast("long").alias("doc_id"), held_out(docs[id_col].cast("long")).alias("held_out"), docs[text_col].cast("string").alias("text"))
-    return rows.mapInArrow(scored, ddl).select("doc_id", "held_out", "score", F.when(F.col("score") >= PREDICT_AT, 1).otherwise(0).alias("predicted"), "n_matched")
+    rows = docs.select(docs[id_col].cast("long").alias("doc_id"), held_out(docs[id_col].cast("long")).alias("held_out"), docs[text_col].cast("string").alias("text"), *keys)
+    return rows.mapInArrow(scored, ddl).select("doc_id", "held_out", "score", F.when(F.col("score") >= PREDICT_AT, 1).otherwise(0).alias("predicted"), "n_matched", *keys)

@@ -3,6 +3,9 @@
 Quality rules and toxicity drop the documents that they reject, near-duplicates keep one document of each group,
 suffix-array dedup cuts repeated strings from later documents (a document with no word left goes), and packing
 deals what is left into sequences.
+
+Rows, not ids, are judged: every row has a stored unique ``row_key`` in the order of ids (nulls last), and each verdict
+is joined on it.  A stage whose input has no key makes one for itself and leaves it out of its result.
 """
 
 from __future__ import annotations
@@ -15,7 +18,7 @@ from pyspark.sql import functions as F
 from blockloom.llm.minhash import near_duplicates
 from blockloom.llm.packing import packing, token_estimate
 from blockloom.llm.quality import quality
-from blockloom.llm.storage import shared_dir
+from blockloom.llm.storage import shared_dir, stored
 from blockloom.llm.suffix_dedup import suffix_dedup
 from blockloom.llm.toxicity import toxicity
 
@@ -23,39 +26,52 @@ _COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def _documents(docs: DataFrame) -> DataFrame:
-    return docs.select(*_COLUMNS)
+    return docs.select(*_COLUMNS, *[c for c in docs.columns if c == "row_key"])
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    """``docs`` with a row key, stored, since a key that is computed again may differ."""
+    if "row_key" in docs.columns:
+        return docs
+    return stored(docs.orderBy(F.col("doc_id").asc_nulls_last()).withColumn("row_key", F.monotonically_increasing_id()), "pipeline-rows")
 
 
-def _kept(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose id is in ``ids``; null ids are matched too."""
-    keep = ids.select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.join(keep, docs["doc_id"].eqNullSafe(keep["kept_id"]), "left_semi")
+def _kept(docs: DataFrame, keys: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows of ``docs`` whose key is in ``keys``."""
+    return docs.join(keys, "row_key", "left_semi").select(*columns)
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    docs = _documents(docs)
-    judged = quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return _kept(docs, judged.where("kept"))
+    columns = _documents(docs).columns
+    docs = _keyed(_documents(docs))
+    marks = spark.read.parquet(f"{sf_dir}/labels.parquet").select(F.col("doc_id").cast("long").alias("l_id"), F.col("quality").cast("int").alias("quality")).where("quality in (0, 1)")
+    marks = marks.groupBy("l_id").agg(F.min("quality").alias("quality"))
+    labels = docs.select("row_key", F.col("doc_id").cast("long").alias("l_id")).join(marks, "l_id").select(F.col("row_key").alias("doc_id"), "quality")
+    judged = quality(docs, labels, id_col="row_key")
+    return _kept(docs, judged.where("kept").select(F.col("doc_id").alias("row_key")), columns)
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    docs = _documents(docs)
-    scored = toxicity(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return _kept(docs, scored.where("predicted = 0"))
+    columns = _documents(docs).columns
+    docs = _keyed(_documents(docs))
+    scored = toxicity(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), key_col="row_key")
+    return _kept(docs, scored.where("predicted = 0").select("row_key"), columns)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Five-word shingles, similarity 0.8."""
-    docs = _documents(docs)
-    return _kept(docs, near_duplicates(docs, size=5, percent=80).where("kept"))
+    """Five-word shingles, similarity 0.8; of repeated rows one is kept."""
+    columns = _documents(docs).columns
+    docs = _keyed(_documents(docs))
+    found = near_duplicates(docs, size=5, percent=80, id_col="row_key")
+    return _kept(docs, found.where("kept").select(F.col("doc_id").alias("row_key")), columns)
 
 
 def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    docs = _documents(docs)
-    left = suffix_dedup(docs, text=True).select(F.col("doc_id").alias("left_id"), "kept")
-    rest = docs.select("doc_id", "lang", "source")
-    joined = left.join(rest, F.col("left_id").eqNullSafe(F.col("doc_id"))).where(F.col("kept").rlike(r"[^\x20\x09-\x0D]"))
-    return joined.select("doc_id", F.col("kept").alias("text"), "lang", "source", F.length("kept").cast("long").alias("n_chars"))
+    columns = _documents(docs).columns
+    docs = _keyed(_documents(docs))
+    left = suffix_dedup(docs, text=True, id_col="row_key").select(F.col("doc_id").alias("row_key"), F.col("kept").alias("text"))
+    joined = left.join(docs.select("row_key", "doc_id", "lang", "source"), "row_key").where(F.col("text").rlike(r"[^\x20\x09-\x0D]+"))
+    return joined.withColumn("n_chars", F.length("text").cast("long")).select(*columns)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -75,7 +91,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = _keyed(_documents(spark.read.parquet(f"{sf_dir}/documents.parquet")))
     base = f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}"
     for k, (_, stage) in enumerate(STAGES):
         path = f"{base}/{k}"

@@ -289,3 +289,17 @@ def test_pipeline(spark, tmp_path):
     assert passage in cut[3] and not any(passage in cut[i] for i in cut if i != 3) and set(cut) == clean
     assert {r.doc_id for r in docs.collect()} == clean
     assert [n for n, _ in P.STAGES] == ["quality rules", "toxicity", "near-duplicates", "suffix-array dedup", "best-fit packing"]
+
+
+def test_pipeline_judges_rows(spark, tmp_path):
+    import corpus_pipeline as P
+
+    rng = random.Random(3)
+    vocab = ["".join(rng.choice("etaoinshr") for _ in range(rng.randint(2, 8))) for _ in range(400)]
+    text = lambda: " ".join(rng.choice(vocab) for _ in range(60))
+    rows = [(i, text()) for i in range(20)]
+    rows += [rows[7], (9, "few words"), (None, text()), (None, text()), (None, "few words")]
+    spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(i, 1, 0) for i in range(20)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    got = collections.Counter(r.doc_id for r in P.run(spark, str(tmp_path)).collect())
+    assert got == collections.Counter([*range(20), None, None])
