@@ -1,31 +1,33 @@
 """MinHash near-duplicates by an LSH forest.
 
-A document is the set of its distinct shingles.  Equal sets are one representative (its smallest id).  Each
-representative has ``PERMS`` min-hashes; a tree of the forest reads them in its own order, and in sorted signature order
-near-duplicates are neighbours with a long common prefix.
+A document is the set of its distinct shingles.  Equal sets are one node of the graph, named by a hash of the set, so ids
+that repeat or are null never confuse two texts.  Each node has ``PERMS`` min-hashes; a tree of the forest reads them in its
+own order, and in sorted signature order near-duplicates are neighbours with a long common prefix.
 
 1. Trees are cut into regions by the first ``DEPTH`` min-hashes.
-2. Neighbours in sorted order of a region are candidates, if their sizes and the agreement of their
-   signatures allow the threshold, and so are all members with the middle of their region, the one that agrees
-   most with the others: copies of one text may differ more from each other than from it.  For middles alone a
-   crowded region (``CROWD``) is cut deeper.  Each document keeps the candidate with the most votes and the one with
-   the best agreement; these links are confirmed on full sets, and components formed.
-3. With components known, the regions are read again, whole, however crowded: rows against rows in blocks.  First each
-   component is confirmed with its best partner in a region, then each pair of different components by its best
-   pair, then every remaining pair between different components.  Pairs within a component change nothing and are
-   never made, so a group of thousands of copies that hang together costs linear work.
-
-Links are confirmed in blocks: candidates form families, families are dealt to blocks of some tens of megabytes, and
-a full set travels once to each pair of blocks that has a candidate pair of it, not once for each pair.
+2. Neighbours in sorted order of a region are candidates, if their sizes and the agreement of their signatures allow the
+   threshold, and so are members with a middle: the member that holds most of the region's most frequent labels.  What
+   does not agree with a middle is searched for its own, one label deeper where the region falls apart (adaptive depth).
+   Each document keeps the candidate with the most votes and the one with the best agreement; these links are
+   confirmed on full sets, and components formed.
+3. The regions are read again, whole: in a region that still holds several components, members that might be linked
+   across components are tied to one of them, its hub, and form its family.  Links that remain are found exactly in
+   each family, see ``_apart``: members are compared by what sets them apart from the family's centre, its majority set, and
+   meet only where they share a rare difference.  So a crowd that just misses the threshold costs little, and no pair is
+   made for two documents that are known to hang together.
+
+Links are confirmed in blocks: candidates form families, families are dealt to blocks of some hundred kilobytes, and
+a full set travels once to each bucket of pairs of blocks that has a candidate pair of it, not once for each pair.
 
 All links that join what shares a region are thus found; two documents at the threshold share no region in any tree
 with a probability of 1e-5 at most, whatever the size of the regions.
 
-Full sets are 40-bit hashes of shingles, gathered once for documents that have a candidate.
+Full sets are 48-bit hashes of shingles, gathered once for documents that have a candidate.
 
 Defined cases: null text or no words: an empty set, linked with nothing; fewer words than a shingle: the whole
-sequence is one shingle; repeated rows and equal texts are one component; a null id is a document of its own,
-kept, with a null component; other columns are ignored.
+sequence is one shingle; repeated rows and equal texts are one component; rows that share an id and differ in text
+each follow their own text; a null id is a document of its own, kept, with a null component; an empty table gives an
+empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -35,29 +37,32 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from . import kernel as K
 from .components import components
-from .storage import release, small_batches, stored
+from .storage import discard, release, small_batches, stored
 
 PERMS = 64
 TREES = 16
 DEPTH = 3
 #: Labels of a region's members: DEPTH leading ones of 16 bits, then LABELS of 8 bits for deeper levels and agreement.
 LABELS = 32
-#: Members of a region that share one middle, in the first search only.
-CROWD = 1024
 #: Pairs that are compared at once.
 AT_ONCE = 4 << 20
 #: Bytes of full sets in one block of a family, on average.
-BLOCK_BYTES = 32 << 20
+BLOCK_BYTES = 512 << 10
 #: Candidate pairs between two blocks of a family, on average.
-BLOCK_PAIRS = 1 << 20
+BLOCK_PAIRS = 1 << 16
+#: Bytes of full sets that one task holds, on average, if every set were needed.
+BUCKET_BYTES = 8 << 20
+#: Bytes of a shingle's hash in a full set.
+WIDTH = 6
 _A = K.mix(np.arange(PERMS, dtype=K.U64) + K.U64(0xA11CE)) | K.U64(1)
 _B = K.mix(np.arange(PERMS, dtype=K.U64) + K.U64(0xB0B))
 _ORDER = np.stack([np.roll(np.arange(PERMS), -4 * t)[: DEPTH + LABELS] for t in range(TREES)])
-_SIG = "doc_id long,n_shingles long,set_hash long,signature binary"
+_SIG = "doc_id long,n_shingles long,node long,signature binary"
 
 
 def shingles(data: np.ndarray, offs: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -80,8 +85,8 @@ def shingles(data: np.ndarray, offs: np.ndarray, size: int) -> tuple[np.ndarray,
 
 
 def signatures(h: np.ndarray, n: np.ndarray) -> np.ndarray:
-    """Min-hashes (32 bits) of sets that lie one after another."""
-    out = np.zeros((len(n), PERMS), np.uint32)
+    """Min-hashes (their 16 leading bits) of sets that lie one after another."""
+    out = np.zeros((len(n), PERMS), np.uint16)
     some = np.flatnonzero(n)
     ends = np.cumsum(n[some])
     starts = ends - n[some]
@@ -92,39 +97,43 @@ def signatures(h: np.ndarray, n: np.ndarray) -> np.ndarray:
         part = h[starts[i] : ends[j - 1]]
         at = starts[i:j] - starts[i]
         for p in range(PERMS):
-            out[some[i:j], p] = np.minimum.reduceat(((part * _A[p] + _B[p]) >> K.U64(32)).astype(np.uint32), at)
+            out[some[i:j], p] = np.minimum.reduceat(((part * _A[p] + _B[p]) >> K.U64(48)).astype(np.uint16), at)
         i = j
     return out
 
 
+def _nodes(h: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """A 64-bit name of each set."""
+    sums = np.concatenate([[K.U64(0)], np.cumsum(K.mix(h))])
+    ends = np.cumsum(n)
+    return K.mix((sums[ends] - sums[ends - n]) ^ K.mix(n.astype(K.U64))).view(np.int64)
+
+
 def _sign(size: int):
     def run(batches):
         schema = K.arrow_schema(_SIG)
         for rb, data, offs in K.slices(batches, "text"):
-            h, doc, n = shingles(data, offs, size)
+            h, _, n = shingles(data, offs, size)
             sig = signatures(h, n)
-            sums = np.concatenate([[K.U64(0)], np.cumsum(K.mix(h))])
-            ends = np.cumsum(n)
-            whole = K.mix(sums[ends] - sums[ends - n]).view(np.int64)
-            yield K.table(schema, doc_id=rb.column(0), n_shingles=n, set_hash=whole, signature=[s.tobytes() for s in sig])
+            yield K.table(schema, doc_id=rb.column(0), n_shingles=n, node=_nodes(h, n), signature=[s.tobytes() for s in sig])
 
     return run
 
 
 def _sets(size: int):
     def run(batches):
-        schema = K.arrow_schema("doc_id long,shingles binary")
+        schema = K.arrow_schema("node long,shingles binary")
         for rb, data, offs in K.slices(batches, "text"):
             h, _, n = shingles(data, offs, size)
             ends = np.cumsum(n)
-            short = h >> K.U64(24)
-            yield K.table(schema, doc_id=rb.column(0), shingles=[K.planes(np.unique(short[b - c : b]), 5) for b, c in zip(ends, n)])
+            short = h >> K.U64(64 - 8 * WIDTH)
+            yield K.table(schema, node=_nodes(h, n), shingles=[K.planes(np.unique(short[b - c : b]), WIDTH) for b, c in zip(ends, n)])
 
     return run
 
 
 def _forest(n_buckets: int):
-    """Members of regions, packed by bucket: key, id, size, component, labels."""
+    """Members of regions, packed by bucket: key, node, size, component, labels."""
     schema = K.arrow_schema("bucket int,members binary")
     kind = np.dtype([("key", "<u8"), ("id", "<i8"), ("n", "<i4"), ("component", "<i8"), ("labels", "u1", LABELS)])
 
@@ -141,16 +150,16 @@ def _forest(n_buckets: int):
         for rb in batches:
             if not rb.num_rows:
                 continue
-            sig = np.frombuffer(b"".join(rb.column(2).to_pylist()), np.uint32).reshape(-1, PERMS)
+            sig = np.frombuffer(b"".join(rb.column(2).to_pylist()), np.uint16).reshape(-1, PERMS)
             ids, n, comp = (np.asarray(rb.column(i)) for i in (0, 1, 3))
             for t in range(TREES):
                 m = np.zeros(len(ids), kind)
-                lead = (sig[:, _ORDER[t, :DEPTH]] >> np.uint32(16)).astype(K.U64)
+                lead = sig[:, _ORDER[t, :DEPTH]].astype(K.U64)
                 key = np.full(len(ids), t, K.U64)
                 for d in range(DEPTH):
                     key = K.mix(key * K.U64(3) ^ lead[:, d])
                 m["key"], m["id"], m["n"], m["component"] = key, ids, n, comp
-                m["labels"] = (sig[:, _ORDER[t, DEPTH:]] >> np.uint32(24)).astype(np.uint8)
+                m["labels"] = (sig[:, _ORDER[t, DEPTH:]] >> np.uint16(8)).astype(np.uint8)
                 held.append(m)
                 size += len(ids)
             if size >= 400_000:
@@ -170,128 +179,137 @@ class Rules:
         s = percent / 100
         # agreement at the threshold is binomial; four deviations below it
         self.least = int(LABELS * s - 4 * np.sqrt(LABELS * s * (1 - s)))
+        #: A middle that agrees so much with a member speaks for it.
+        self.close = int(LABELS * s)
 
     def sizes(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         return 100 * np.minimum(a, b) >= self.percent * np.maximum(a, b)
 
+    def links(self, both: int, a: int, b: int) -> bool:
+        """The exact decision: sets of ``a`` and ``b`` elements with ``both`` in common."""
+        return 100 * both >= self.percent * (a + b - both)
+
+
+def _middle(labels: np.ndarray) -> int:
+    """The member (row) that holds most of the labels that are the most frequent at their place."""
+    places = np.arange(labels.shape[1]) * 256
+    seen = np.bincount((labels + places).ravel(), minlength=256 * labels.shape[1]).reshape(-1, 256)
+    return int((labels == seen.argmax(axis=1)).sum(axis=1).argmax())
 
-def _regions(m: np.ndarray):
-    """Indices of each region's members, crowded regions cut deeper: for middles, never for the pairs that decide."""
-    order = np.argsort(m["key"], kind="stable")
-    todo = [(part, 0) for part in np.split(order, np.flatnonzero(np.diff(m["key"][order])) + 1) if len(part) > 1]
+
+def _middles(r: np.ndarray, rules: Rules) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Middles of a region with the members that agree, and how much.  What agrees less than ``close`` goes on to find
+    a middle of its own, one label deeper if that is most of the region."""
+    todo = [(np.arange(len(r)), 0)]
     while todo:
         part, depth = todo.pop()
-        if len(part) <= CROWD or depth == LABELS:
-            yield part
-            continue
-        label = m["labels"][part, depth]
-        sub = np.argsort(label, kind="stable")
-        todo += [(part[x], depth + 1) for x in np.split(sub, np.flatnonzero(np.diff(label[sub])) + 1) if len(x) > 1]
+        labels = r["labels"][part]
+        at = _middle(labels)
+        agree = (labels == labels[at]).sum(axis=1)
+        hit = (agree >= rules.least) & rules.sizes(r["n"][part], r["n"][part[at]])
+        hit[at] = False
+        yield int(part[at]), part[hit], agree[hit]
+        rest = part[(agree < rules.close) & (np.arange(len(part)) != at)]
+        if 2 * len(rest) <= len(part):
+            todo += [(rest, depth)] if len(rest) > 1 else []
+        elif depth < LABELS:
+            label = r["labels"][rest, depth]
+            sub = np.argsort(label, kind="stable")
+            todo += [(rest[x], depth + 1) for x in np.split(sub, np.flatnonzero(np.diff(label[sub])) + 1) if len(x) > 1]
 
 
-def _agreement(labels: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    """Equal labels of some members with all; ``labels`` has a line for each label."""
-    out = np.zeros((len(rows), labels.shape[1]), np.uint8)
-    for line in labels:
-        out += line[rows][:, None] == line[None, :]
-    return out
+def _members(batches, kind: np.dtype) -> np.ndarray:
+    """Members of regions of two or more."""
+    parts = [np.frombuffer(x, kind) for rb in batches for x in rb.column(rb.schema.get_field_index("members")).to_pylist()]
+    m = np.concatenate([np.zeros(0, kind), *parts])
+    return m[K.duplicated(m["key"])]
+
+
+_NEAR = "child long,parent long,agree int,votes int"
 
 
 def _neighbours(kind: np.dtype, rules: Rules):
-    """Candidates (child, parent): neighbours in sorted order, and members with the middle of their region."""
+    """Candidates (child, parent): neighbours in sorted order, and members with a middle of their region."""
 
-    def run(tab: pa.Table) -> pa.Table:
-        m = np.concatenate([np.frombuffer(x, kind) for x in tab["members"].to_pylist()])
-        m = m[K.duplicated(m["key"])]
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = _members(batches, kind)
+        if not len(m):
+            return
         deep = np.ascontiguousarray(m["labels"]).view(">u8").astype(K.U64)
         m = m[np.lexsort((*(deep[:, i] for i in range(deep.shape[1] - 1, -1, -1)), m["key"]))]
         agree = (m["labels"][1:] == m["labels"][:-1]).sum(axis=1)
         ok = (m["key"][1:] == m["key"][:-1]) & (agree >= rules.least) & rules.sizes(m["n"][1:], m["n"][:-1]) & (m["id"][1:] != m["id"][:-1])
         a, b = m["id"][:-1][ok], m["id"][1:][ok]
         out = [np.stack([np.maximum(a, b), np.minimum(a, b), agree[ok], np.zeros(len(a), np.int64)])]
-        for part in _regions(m):
-            if len(part) < 3:
-                continue
-            r = m[part]
-            labels = np.ascontiguousarray(r["labels"].T)
-            total, best, row = np.zeros(len(r), np.int64), -1, None
-            for x in range(0, len(r), 64):
-                rows = np.arange(x, min(x + 64, len(r)))
-                some = _agreement(labels, rows)
-                close = np.where(some >= rules.least, some, 0)
-                total[rows] = close.sum(axis=1)
-                top = int(total[rows].argmax())
-                if total[rows[top]] > best:
-                    best, row, mid = total[rows[top]], some[top], rows[top]
-            hit = np.flatnonzero((row >= rules.least) & rules.sizes(r["n"], r["n"][mid]) & (r["id"] != r["id"][mid]))
-            out.append(np.stack([r["id"][hit], np.full(len(hit), r["id"][mid]), row[hit].astype(np.int64), np.ones(len(hit), np.int64)]))
+        start = np.flatnonzero(np.concatenate([[True], np.diff(m["key"]) != 0]))
+        ends = np.append(start[1:], len(m))
+        for x, y in zip(start[ends - start > 2], ends[ends - start > 2]):
+            r = m[x:y]
+            for mid, hit, w in _middles(r, rules):
+                out.append(np.stack([r["id"][hit], np.full(len(hit), r["id"][mid]), w.astype(np.int64), np.ones(len(hit), np.int64)]))
         child, parent, w, votes = np.concatenate(out, axis=1)
-        return pa.Table.from_batches([K.table(K.arrow_schema("child long,parent long,agree int,votes int"), child=child, parent=parent, agree=w.astype(np.int32), votes=votes.astype(np.int32))])
+        yield K.table(K.arrow_schema(_NEAR), child=child, parent=parent, agree=w.astype(np.int32), votes=votes.astype(np.int32))
 
     return run
 
 
-def _between(kind: np.dtype, rules: Rules, how: str):
-    """Candidate pairs of different components in a region: ``all``, the ``best`` for two components, or for ``each``
-    component its best.  Regions are never cut here."""
+def _agreement(labels: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Equal labels of some members with all; ``labels`` has a line for each label."""
+    out = np.zeros((len(rows), labels.shape[1]), np.uint8)
+    for line in labels:
+        out += line[rows][:, None] == line[None, :]
+    return out
+
 
-    schema = K.arrow_schema("a long,b long,agree int")
+def _hubs(kind: np.dtype, rules: Rules):
+    """Ties (member, hub) in regions of several components.  Members that agree with the region's middle are tied to it;
+    the others only if one of them might be linked with a member of another component, rows against rows in blocks."""
+
+    schema = K.arrow_schema("node long,hub long")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = np.concatenate([np.zeros(0, kind), *(np.frombuffer(x, kind) for rb in batches for x in rb.column(rb.schema.get_field_index("members")).to_pylist())])
-        m = m[K.duplicated(m["key"])]
+        m = _members(batches, kind)
         if not len(m):
             return
-        order = np.argsort(m["key"], kind="stable")
-        start = np.flatnonzero(np.concatenate([[True], np.diff(m["key"][order]) != 0]))
-        c = m["component"][order]
-        mixed = np.minimum.reduceat(c, start) != np.maximum.reduceat(c, start)
+        m = m[np.argsort(m["key"], kind="stable")]
+        start = np.flatnonzero(np.concatenate([[True], np.diff(m["key"]) != 0]))
         ends = np.append(start[1:], len(m))
+        mixed = np.minimum.reduceat(m["component"], start) != np.maximum.reduceat(m["component"], start)
+        ties = []
         for x, y in zip(start[mixed], ends[mixed]):
-            r = m[order[x:y]]
+            r = m[x:y]
+            r = r[np.argsort(r["id"])]  # of equal middles the one with the least name, in every tree
+            mid = _middle(r["labels"])
+            near = ((r["labels"] == r["labels"][mid]).sum(axis=1) >= rules.least) & rules.sizes(r["n"], r["n"][mid])
+            comp = r["component"]
+            if comp[near].min() != comp[near].max():
+                ties.append((r["id"][near], r["id"][mid]))
+            others = np.flatnonzero(~near)
+            if not len(others):
+                continue
             labels = np.ascontiguousarray(r["labels"].T)
-            _, comp = np.unique(r["component"], return_inverse=True)
-            # rows against rows in blocks; the largest component is not compared with itself
-            major = np.bincount(comp).argmax()
-            few = np.flatnonzero(comp != major)
-            few = few[np.argsort(comp[few], kind="stable")]
+            tied = np.zeros(len(r), bool)
             step = max(1, AT_ONCE // len(r))
-            for at in range(0, len(few), step):
-                own = few[at : at + step]
-                agree = _agreement(labels, own)
-                ok = (agree >= rules.least) & (comp[own][:, None] != comp[None, :]) & rules.sizes(r["n"][own][:, None], r["n"][None, :])
-                if how == "each":
-                    agree[~ok] = 0
-                    i, j = np.arange(len(own)), agree.argmax(axis=1)
-                    w = agree[i, j].astype(np.int64)
-                    i = own
-                    o = np.lexsort((-w, comp[i]))
-                    o = o[np.concatenate([[True], np.diff(comp[i][o]) != 0])]
-                    o = o[w[o] > 0]
-                    i, j, w = i[o], j[o], w[o]
-                else:
-                    i, j = np.nonzero(ok)
-                    w = agree[i, j].astype(np.int64)
-                    i = own[i]
-                    once = (comp[j] == major) | (i < j)
-                    i, j, w = i[once], j[once], w[once]
-                    if how == "best" and len(i):
-                        lo, hi = np.minimum(comp[i], comp[j]), np.maximum(comp[i], comp[j])
-                        o = np.lexsort((-w, hi, lo))
-                        o = o[np.concatenate([[True], (lo[o][1:] != lo[o][:-1]) | (hi[o][1:] != hi[o][:-1])])]
-                        i, j, w = i[o], j[o], w[o]
-                if len(i):
-                    a, b = r["id"][i], r["id"][j]
-                    yield K.table(schema, a=np.minimum(a, b), b=np.maximum(a, b), agree=w.astype(np.int32))
+            for at in range(0, len(others), step):
+                own = others[at : at + step]
+                ok = (_agreement(labels, own) >= rules.least) & (comp[own][:, None] != comp[None, :]) & rules.sizes(r["n"][own][:, None], r["n"][None, :])
+                tied[own] |= ok.any(axis=1)
+                tied |= ok.any(axis=0)
+            if tied.any():
+                ties.append((r["id"][tied], r["id"][tied][_middle(r["labels"][tied])]))
+        if ties:
+            # one tie for each member and hub of this bucket
+            both = np.unique(np.concatenate([np.stack([i, np.full(len(i), hub)], axis=1) for i, hub in ties]), axis=0)
+            yield K.table(schema, node=both[:, 0], hub=both[:, 1])
 
     return run
 
 
-def _confirm(percent: int):
-    """Candidate pairs of one pair of blocks that reach the threshold, from the sets of its documents."""
+def _confirm(rules: Rules):
+    """Candidate pairs of one bucket that reach the threshold, from the sets of its documents."""
 
     def run(pairs: pa.Table, sets: pa.Table) -> pa.Table:
-        held = dict(zip(sets["doc_id"].to_pylist(), (K.unplanes(x, 5) for x in sets["shingles"].to_pylist())))
+        held = dict(zip(sets["node"].to_pylist(), (K.unplanes(x, WIDTH) for x in sets["shingles"].to_pylist())))
         top: dict[int, int] = {}
 
         def root(x: int) -> int:
@@ -309,8 +327,7 @@ def _confirm(percent: int):
             if len(x) > len(y):
                 x, y = y, x
             at = np.searchsorted(y, x)
-            both = int((y[np.minimum(at, len(y) - 1)] == x).sum())
-            if 100 * both >= percent * (len(x) + len(y) - both):
+            if rules.links(int((y[np.minimum(at, len(y) - 1)] == x).sum()), len(x), len(y)):
                 top[max(ra, rb)] = min(ra, rb)
                 out.append((a, b))
         return pa.table({"a": pa.array([x for x, _ in out], pa.int64()), "b": pa.array([y for _, y in out], pa.int64())})
@@ -318,6 +335,59 @@ def _confirm(percent: int):
     return run
 
 
+def _centres(tab: pa.Table) -> pa.Table:
+    """For each family, the elements that more than half of one block of its members hold."""
+    of: dict[int, list[np.ndarray]] = {}
+    for r in tab.select(["family", "shingles"]).to_pylist():
+        of.setdefault(r["family"], []).append(K.unplanes(r["shingles"], WIDTH))
+    cores = []
+    for parts in of.values():
+        own, n = np.unique(np.concatenate(parts), return_counts=True)
+        cores.append(K.planes(own[2 * n > len(parts)], WIDTH))
+    return pa.table({"family": pa.array(list(of), pa.int64()), "core": pa.array(cores, pa.binary())})
+
+
+_STANDING = "family long,node long,n long,excess long,least long"
+_ELEMENTS = "family long,node long,element long"
+
+
+def _apart(rules: Rules, elements: bool):
+    """What sets the members of families apart from their centres.
+
+    A centre c is any set.  With D(x) the elements that either x or c has, x and y do not share |D(x)| + |D(y)| - 2 |D(x) & D(y)|
+    elements.  With P the threshold in per cent and E(x) = (100 + P) |D(x)| - (100 - P) |x| this gives, exactly: x and y are
+    linked if and only if 2 (100 + P) |D(x) & D(y)| >= E(x) + E(y).
+
+    Let r be the member with the least E, and let links with r be settled.  Of two members in different components then
+    E(x) + E(y) > 0, since else both were linked with r; so they share a difference, and x shares at least
+    (E(x) + m) / (2 (100 + P)) of them, m being the least E in other components.  Since |x| <= |c| + |D(x)| and no more than
+    |D(x)| is shared, it is also (E(y) - (100 - P) |c|) / 200 or more.
+
+    Two sets that share t elements share one within the first |D| - t + 1 of each, in one order for all; the order here is
+    from rare to frequent in the family, and what occurs once in it can not be shared.
+    """
+    p = rules.percent
+
+    def run(members: pa.Table, heads: pa.Table) -> pa.Table:
+        cores = {r["block"]: K.unplanes(r["core"], WIDTH) for r in heads.select(["block", "core"]).to_pylist()}
+        rows = []
+        for rb in members.select(["block", "family", "node", "shingles"]).to_batches(1000):
+            for r in rb.to_pylist():
+                x, c = K.unplanes(r["shingles"], WIDTH), cores[r["block"]]
+                d = np.setxor1d(x, c, assume_unique=True)
+                if elements:
+                    rows.append((np.full(len(d), r["family"]), np.full(len(d), r["node"]), d.astype(np.int64)))
+                else:
+                    rows.append((r["family"], r["node"], len(d), (100 + p) * len(d) - (100 - p) * len(x), (100 - p) * len(c)))
+        schema = K.arrow_schema(_ELEMENTS if elements else _STANDING)
+        if not rows:
+            return schema.empty_table()
+        cols = [np.concatenate(v) if elements else np.array(v, np.int64) for v in zip(*rows)]
+        return pa.Table.from_batches([K.table(schema, **dict(zip(schema.names, cols)))])
+
+    return run
+
+
 def near_duplicates(docs: DataFrame, *, size: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` for every row of ``docs``.
 
@@ -328,59 +398,135 @@ def near_duplicates(docs: DataFrame, *, size: int = 5, percent: int = 80, id_col
     rows = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("string").alias("text"))
     signed = stored(rows.mapInArrow(_sign(size), _SIG), "minhash-signatures")
     full = signed.where("n_shingles > 0 and doc_id is not null")
-    reps = stored(full.groupBy("n_shingles", "set_hash").agg(F.min("doc_id").alias("rep"), F.min("signature").alias("signature")), "minhash-sets")
-    n = reps.count()
-    n_buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n * TREES // 500_000))
+    reps = full.groupBy("node").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.min("signature").alias("signature"))
+    reps = stored(reps, "minhash-sets")
+    n, weight = reps.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n_buckets = max(partitions, -(-n * TREES // 500_000))
+    n_tasks = max(partitions, -(-weight * WIDTH // BUCKET_BYTES))
     forest, kind = _forest(n_buckets)
 
     def regions(labels: DataFrame | None, method, ddl: str) -> DataFrame:
-        members = reps.select("rep", F.col("n_shingles").cast("int").alias("n"), "signature")
+        members = reps.select("node", F.col("n").cast("int"), "signature")
         if labels is not None:
-            members = members.join(labels.withColumnRenamed("node", "rep"), "rep", "left")
-        comp = F.col("rep") if labels is None else F.coalesce("component", "rep")
-        packed = members.select("rep", "n", "signature", comp.alias("component")).mapInArrow(forest, "bucket int,members binary")
-        return packed.groupBy("bucket").applyInArrow(method, ddl)
-
-    near = stored(regions(None, _neighbours(kind, rules), "child long,parent long,agree int,votes int").groupBy("child", "parent").agg(F.max("agree").alias("agree"), F.sum("votes").alias("votes")), "minhash-candidates")
+            members = members.join(labels, "node", "left")
+        comp = F.col("node") if labels is None else F.coalesce("component", "node")
+        packed = members.select("node", "n", "signature", comp.alias("component")).mapInArrow(forest, "bucket int,members binary")
+        # a task reads its buckets at once: grouping by bucket would sort them for nothing
+        return packed.repartition(n_buckets, "bucket").select("members").mapInArrow(method, ddl)
+
+    known: list[DataFrame] = []
+
+    def gathered(nodes: DataFrame) -> DataFrame:
+        """Full sets of ``nodes`` and of all asked for before; each is made once."""
+        new = nodes.distinct()
+        for k in known:
+            new = new.join(k.select("node"), "node", "left_anti")
+        new = stored(new.join(reps.select("node", "rep"), "node"), "minhash-wanted")
+        found = rows.join(new.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi").mapInArrow(_sets(size), "node long,shingles binary")
+        known.append(stored(found.join(new.select("node"), "node", "left_semi").dropDuplicates(["node"]), "minhash-shingles"))
+        discard(new)
+        out = known[0]
+        for k in known[1:]:
+            out = out.unionByName(k)
+        return out
+
+    def blocks(family: DataFrame, pairs: DataFrame | None = None) -> DataFrame:
+        """Members of families ``(node, component)``, dealt to blocks by the weight of their sets and the number of pairs."""
+        sized = family.join(reps.select("node", "n"), "node").groupBy("component").agg(F.ceil(WIDTH * F.sum("n") / BLOCK_BYTES).cast("long").alias("k"))
+        if pairs is not None:
+            many = pairs.groupBy(F.col("a").alias("node")).count().join(family, "node").groupBy("component").agg(F.ceil(F.sqrt(F.sum("count") / BLOCK_PAIRS)).cast("long").alias("by_pairs"))
+            sized = sized.join(many, "component").select("component", F.greatest("k", "by_pairs").alias("k"))
+        salt = F.pmod(F.xxhash64("node"), F.col("k"))
+        return family.join(sized, "component").select("node", "component", "k", salt.alias("salt"), F.xxhash64("component", salt).alias("block"))
+
+    def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+        """Links among candidate pairs.  Pairs that hang together are a family; a family is one block, or more by weight."""
+        place = stored(blocks(components(pairs), pairs).select("node", "block"), "minhash-blocks")
+        at = lambda c: place.select(F.col("node").alias(c), F.col("block").alias("block_" + c))
+        task = F.pmod(F.xxhash64(F.least("block_a", "block_b"), F.greatest("block_a", "block_b")), F.lit(n_tasks))
+        placed = stored(pairs.join(at("a"), "a").join(at("b"), "b").select("a", "b", task.alias("task")), "minhash-pairs")
+        needed = placed.select(F.col("task").alias("of"), F.explode(F.array("a", "b")).alias("node")).distinct()
+        got = placed.groupBy("task").cogroup(needed.join(sets, "node").select("of", "node", "shingles").groupBy("of")).applyInArrow(_confirm(rules), "a long,b long")
+        out = stored(got, "minhash-links")
+        discard(place, placed)
+        return out
+
+    near = stored(regions(None, _neighbours(kind, rules), _NEAR).groupBy("child", "parent").agg(F.max("agree").alias("agree"), F.sum("votes").alias("votes")), "minhash-candidates")
     release(spark)
     by = lambda *c: F.max_by("parent", F.struct(*c, "parent"))
     chosen = near.groupBy("child").agg(F.array_distinct(F.array(by("votes", "agree"), by("agree"))).alias("p")).select("child", F.explode("p").alias("parent"))
     parents = stored(chosen.select(F.least("child", "parent").alias("a"), F.greatest("child", "parent").alias("b")).distinct(), "minhash-parents")
-    with_pairs = near.select(F.explode(F.array("child", "parent")).alias("doc_id")).distinct()
-    sets = stored(rows.join(with_pairs, "doc_id", "left_semi").mapInArrow(_sets(size), "doc_id long,shingles binary").dropDuplicates(["doc_id"]), "minhash-shingles")
+    discard(near)
+    links = confirmed(parents, gathered(parents.select(F.explode(F.array("a", "b")).alias("node"))))
+    discard(parents)
     release(spark)
 
-    def confirmed(pairs: DataFrame) -> DataFrame:
-        """Links among candidate pairs.  Pairs that hang together are a family; a family is one block, or more by weight."""
-        family = components(pairs)
-        weights = family.join(reps.select(F.col("rep").alias("node"), "n_shingles"), "node")
-        sizes = weights.groupBy("component").agg(F.ceil(5 * F.sum("n_shingles") / BLOCK_BYTES).cast("long").alias("k"))
-        many = pairs.groupBy(F.col("a").alias("node")).count().join(family, "node").groupBy("component").agg(F.ceil(F.sqrt(F.sum("count") / BLOCK_PAIRS)).cast("long").alias("by_pairs"))
-        sizes = sizes.join(many, "component").select("component", F.greatest("k", "by_pairs").alias("k"))
-        block = F.xxhash64("component", F.pmod(F.xxhash64("node"), F.col("k")))
-        blocks = stored(family.join(sizes, "component").select("node", block.alias("block")), "minhash-blocks")
-        at = lambda c: blocks.select(F.col("node").alias(c), F.col("block").alias("block_" + c))
-        placed = pairs.join(at("a"), "a").join(at("b"), "b")
-        placed = stored(placed.select("a", "b", F.xxhash64(F.least("block_a", "block_b"), F.greatest("block_a", "block_b")).alias("pair")), "minhash-pairs")
-        needed = placed.select(F.col("pair").alias("of"), F.inline(F.array(F.struct(F.col("a").alias("doc_id")), F.struct(F.col("b").alias("doc_id"))))).distinct()
-        got = placed.groupBy("pair").cogroup(needed.join(sets, "doc_id").select("of", "doc_id", "shingles").groupBy("of")).applyInArrow(_confirm(percent), "a long,b long")
-        return stored(got, "minhash-links")
-
-    links = confirmed(parents)
+    ties = stored(regions(components(links), _hubs(kind, rules), "node long,hub long").distinct(), "minhash-ties")
     release(spark)
-    labels = components(links)
-    for how in ("each", "best", "all"):
-        pairs = stored(regions(labels, _between(kind, rules, how), "a long,b long,agree int").select("a", "b").distinct(), "minhash-between")
-        if pairs.isEmpty():
-            break
-        missing = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct().join(sets.select("doc_id"), "doc_id", "left_anti")
-        if not missing.isEmpty():
-            more = rows.join(missing, "doc_id", "left_semi").mapInArrow(_sets(size), "doc_id long,shingles binary").dropDuplicates(["doc_id"])
-            sets = sets.unionByName(stored(more, "minhash-shingles"))
-        links = links.unionByName(confirmed(pairs))
-        labels = components(links)
+    if not ties.isEmpty():
+        place = stored(blocks(ties.select("node", F.col("hub").alias("component"))).withColumnRenamed("component", "family"), "minhash-families")
+        discard(ties)
+        sets = gathered(place.select("node"))
+        task = F.pmod(F.xxhash64("block"), F.lit(n_tasks)).alias("task")
+        lead = place.where("salt = 0").join(sets, "node").select(F.pmod(F.xxhash64("family"), F.lit(n_tasks)).alias("task"), "family", "shingles")
+        centres = stored(lead.groupBy("task").applyInArrow(_centres, "family long,core binary"), "minhash-centres")
+
+        def apart(place: DataFrame, elements: bool) -> DataFrame:
+            mine = place.join(sets, "node").select(task, "block", "family", "node", "shingles")
+            heads = place.select("family", "k").distinct().join(centres, "family").select("family", F.explode(F.sequence(F.lit(0).cast("long"), F.col("k") - 1)).alias("salt"), "core")
+            heads = heads.select(F.xxhash64("family", "salt").alias("block"), "core").select("block", "core", task.alias("head_task"))
+            return mine.groupBy("task").cogroup(heads.groupBy("head_task")).applyInArrow(_apart(rules, elements), _ELEMENTS if elements else _STANDING)
+
+        def standing_in(labels: DataFrame) -> DataFrame:
+            """Members of families that still hold several components, with their component."""
+            named = standing.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+            mixed = named.groupBy("family").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("family")
+            return named.join(mixed, "family", "left_semi")
+
+        standing = stored(apart(place, False), "minhash-standing")
+        release(spark)
+        nearest = standing.groupBy("family").agg(F.min_by("node", F.struct("excess", "node")).alias("r"))
+        first = stored(standing_in(components(links)).select("family", "node", "component"), "minhash-first")
+        own = first.join(nearest.withColumnRenamed("r", "node"), ["family", "node"]).select("family", F.col("node").alias("r"), F.col("component").alias("r_component"))
+        direct = first.join(own, "family").where("component <> r_component").select(F.least("node", "r").alias("a"), F.greatest("node", "r").alias("b")).distinct()
+        direct = stored(direct, "minhash-direct")
+        links = links.unionByName(confirmed(direct, sets))
+        discard(first, direct)
         release(spark)
-    tops = reps.select("n_shingles", "set_hash", "rep").join(labels.withColumnRenamed("node", "rep"), "rep", "left").select("n_shingles", "set_hash", F.coalesce("component", "rep").alias("component_id"))
-    marked = full.select("doc_id", "n_shingles", "set_hash").join(tops, ["n_shingles", "set_hash"]).select("doc_id", "n_shingles", "component_id")
+
+        rest = stored(standing_in(components(links)), "minhash-rest")
+        tops = rest.join(nearest, "family").where("node = r").select("family", F.col("component").alias("r_component"), F.col("excess").alias("m1"))
+        rest = rest.join(tops, "family").withColumn("inside", F.col("component") == F.col("r_component"))
+        outer = rest.where("not inside").groupBy("family").agg(F.min("excess").alias("m2"))
+        scale = 2 * (100 + percent)
+        rest = rest.join(outer, "family")
+        rest = rest.withColumn("few", F.expr(f"n + 1 - greatest(1, ceil((excess + m2) / {scale}))"))
+        rest = rest.withColumn("most", F.expr(f"if(inside, few, greatest(few, n + 1 - greatest(1, ceil((excess + m1) / {scale}), ceil((excess - least) / 200))))"))
+        rest = stored(rest.select("family", "node", "component", "inside", "n", "excess", "few", "most").where("most > 0"), "minhash-rest")
+        found = stored(apart(place.join(rest.select("family", "node"), ["family", "node"], "left_semi"), True), "minhash-differences")
+        shared = found.groupBy("family", "element").count().where("count > 1")
+        mine = found.join(shared, ["family", "element"])
+        of = W.partitionBy("family", "node")
+        ranked = mine.select("family", "node", "element", F.row_number().over(of.orderBy("count", "element")).alias("at"), F.count(F.lit(1)).over(of).alias("m"))
+        ranked = ranked.join(rest, ["family", "node"]).withColumn("at", F.col("n") - F.col("m") + F.col("at")).where("at <= most")
+        ranked = stored(ranked.select("family", "element", "node", "component", "inside", "n", "excess", (F.col("at") <= F.col("few")).alias("short")), "minhash-ranked")
+        discard(found, rest)
+        x, y = (ranked.select("family", "element", *[F.col(c).alias(f"{c}_{s}") for c in ("node", "component", "inside", "short", "excess", "n")]) for s in "xy")
+        possible = F.expr(f"excess_x + excess_y <= {scale} * least(n_x, n_y)")
+        once = F.col("inside_x") | (F.col("short_y") & (F.col("node_x") < F.col("node_y")))
+        met = x.where("short_x").join(y.where("not inside_y"), ["family", "element"]).where((F.col("component_x") != F.col("component_y")) & once & possible)
+        pairs = stored(met.select(F.least("node_x", "node_y").alias("a"), F.greatest("node_x", "node_y").alias("b")).distinct(), "minhash-between")
+        discard(place, centres, standing, ranked)
+        release(spark)
+        if not pairs.isEmpty():
+            links = links.unionByName(confirmed(pairs, sets))
+        discard(pairs)
+    discard(*known)
+    labels = components(links)
+    named = reps.select("node", "rep").join(labels, "node", "left").select("node", "rep", F.coalesce("component", "node").alias("component"))
+    tops = named.groupBy("component").agg(F.min("rep").alias("component_id"))
+    tops = named.select("node", "component").join(tops, "component").select("node", "component_id")
+    marked = full.select("doc_id", "n_shingles", "node").join(tops, "node").select("doc_id", "n_shingles", "component_id")
     alone = signed.where("not (n_shingles > 0 and doc_id is not null)").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     return marked.unionByName(alone).select("doc_id", "n_shingles", "component_id", F.col("component_id").eqNullSafe(F.col("doc_id")).alias("kept"))

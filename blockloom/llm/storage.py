@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 #: Rows that Spark hands to Python at once; long texts make large batches.
 ARROW_ROWS = 1000
 _SHIPPED: dict[str, str | None] = {}
+#: Paths of stored tables that are not yet deleted.
+_HELD: set[str] = set()
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -27,16 +29,47 @@ def shared_dir(spark: SparkSession) -> str:
     return found
 
 
+def _path(spark: SparkSession, path: str):
+    """A Hadoop path and its file system."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def temporary(spark: SparkSession, path: str) -> str:
+    """``path``, which goes when the application ends or by ``discard_all``."""
+    p, fs = _path(spark, path)
+    fs.deleteOnExit(p)
+    _HELD.add(path)
+    return path
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back: lineage ends there, and any executor can
-    read it.  The files go when the application ends."""
+    read it.  The files go by ``discard``, or when the application ends."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/tables/{name}-{uuid.uuid4().hex}"
+    path = temporary(spark, f"{shared_dir(spark)}/tables/{name}-{uuid.uuid4().hex}")
     df.write.option("compression", "zstd").parquet(path)
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(conf).deleteOnExit(p)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.stored_path = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete stored tables after their last reader."""
+    for t in tables:
+        path = getattr(t, "stored_path", None)
+        if path in _HELD:
+            p, fs = _path(t.sparkSession, path)
+            fs.delete(p, True)
+            _HELD.discard(path)
+
+
+def discard_all(spark: SparkSession) -> None:
+    """Delete every stored table of this application.  Only where all results that read one are written."""
+    for path in sorted(_HELD):
+        p, fs = _path(spark, path)
+        fs.delete(p, True)
+    _HELD.clear()
 
 
 def small_batches(spark: SparkSession) -> None:
