@@ -15,6 +15,10 @@ Steps (each a DataFrame operation over packed rows, one row holding thousands of
 4. contexts of one gram meet in one bucket, where the operator's own method finds the repeated windows;
 5. kept texts meet the windows found and are finished.
 
+Rows are told apart by ``key``, a 64-bit hash of id and text: rows that agree in both get the same result anyway, and
+rows that share an id, or have none, and differ in text never answer for each other.  ``rank`` is the id itself, for methods
+that order documents; rows without an id share the largest rank.  Groups of step 3 are by key, so no id makes a hot one.
+
 Equal contexts are compared once, by one representative, so a passage in a third of all documents costs step 4 no
 more than a rare one.  Buckets and groups are sized by bytes of text.  Hashes have 64 bits; in a bucket 40 bits of gram and 40 of context, so
 80 and the bucket's own decide that two contexts are equal.
@@ -31,12 +35,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import kernel as K
-from .storage import buckets, release, small_batches, stored
+from .storage import buckets, discard, release, small_batches, stored
 
 FLUSH = 500_000
 NO_ID = (1 << 63) - 1
 FULL, NEED, SEND = 1, 2, 4
-_POS = (1 << 28) - 1
+#: Positions in a slice; a text has less than 2 GB.
+_POS = (1 << 31) - 1
 
 
 @dataclass(frozen=True)
@@ -48,14 +53,17 @@ class Method:
     gram: int
     #: (bytes, offsets) -> symbols, offsets of documents in symbols, and a context for ``result``
     tokens: Callable
-    #: (key, context, document) sorted by key -> state of each
+    #: (gram, context, rank) sorted in this order -> state of each
     classify: Callable
-    #: (key, document, contexts, left, right) -> windows found, rows x (window - gram + 1)
+    #: (gram, rank, contexts, left, right) -> windows found, rows x (window - gram + 1)
     compare: Callable
     #: (bytes, offsets, token context, offsets in symbols, covered symbols) -> columns of the result
     result: Callable
     columns: str
+    #: Bytes of a symbol in a context.
     symbol_bytes: int
+    #: Bytes of a rank; none if the method does not order documents.
+    rank_bytes: int
 
     @property
     def left(self) -> int:
@@ -86,9 +94,9 @@ def find(ranges: K.Ranges, first: np.ndarray, window: int, gram: int):
     return chosen, h[chosen]
 
 
-def group_of(ids, groups: int):
-    """Group of a document id; the same arithmetic as ``group_column``."""
-    u = ids.astype(K.U64)
+def group_of(keys, groups: int):
+    """Group of a row's key; the same arithmetic as ``group_column``."""
+    u = keys.astype(K.U64)
     return ((u ^ (u >> K.U64(13)) ^ (u >> K.U64(29))) & K.U64((1 << 62) - 1)).astype(np.int64) % groups
 
 
@@ -97,18 +105,26 @@ def group_column(col, groups: int):
     return F.pmod(mixed, F.lit(groups).cast("long")).cast("int")
 
 
+def _column(rb: pa.RecordBatch, name: str) -> np.ndarray:
+    return rb.column(rb.schema.get_field_index(name)).to_numpy(zero_copy_only=False)
+
+
+_ANCHORS = "bucket int,grams binary,contexts binary,keys binary,ranks binary,docs binary,pos binary"
+
+
 def _scan(m: Method, n_buckets: int):
-    schema = K.arrow_schema("bucket int,keys binary,contexts binary,ids binary,docs binary,pos binary")
+    schema = K.arrow_schema(_ANCHORS)
 
     def flush(parts):
-        key, ctx, ids, pos = (np.concatenate(x) for x in zip(*parts))
-        b = (key % K.U64(n_buckets)).astype(np.int32)
+        gram, ctx, key, rank, pos = (np.concatenate(x) for x in zip(*parts))
+        b = (gram % K.U64(n_buckets)).astype(np.int32)
         order = np.argsort(b, kind="stable")
         cuts = np.flatnonzero(np.diff(b[order])) + 1
         rows = [[] for _ in schema]
         for part in np.split(order, cuts):
-            own, doc = np.unique(ids[part], return_inverse=True)
-            for r, v in zip(rows, (int(b[part[0]]), K.planes(key[part] >> K.U64(24), 5), K.planes(ctx[part] >> K.U64(24), 5), K.planes(own.astype(K.U64), 8), K.planes(doc, 4), K.planes(pos[part], 4))):
+            own, one, doc = np.unique(key[part], return_index=True, return_inverse=True)
+            packed = (K.planes(gram[part] >> K.U64(24), 5), K.planes(ctx[part] >> K.U64(24), 5), K.planes(own.astype(K.U64), 8), K.planes(rank[part][one].astype(K.U64), m.rank_bytes), K.planes(doc, 4), K.planes(pos[part], 5))
+            for r, v in zip(rows, (int(b[part[0]]), *packed)):
                 r.append(v)
         for i in range(0, len(rows[0]), 64):
             yield K.table(schema, **{f.name: r[i : i + 64] for f, r in zip(schema, rows)})
@@ -120,14 +136,13 @@ def _scan(m: Method, n_buckets: int):
             if not len(symbols):
                 continue
             ranges = K.Ranges(symbols)
-            at, key = find(ranges, first, m.window, m.gram)
+            at, gram = find(ranges, first, m.window, m.gram)
             if not len(at):
                 continue
             doc = np.searchsorted(first, at, "right") - 1
             lo, hi = np.maximum(first[doc], at - m.left), np.minimum(first[doc + 1], at + m.window)
             ctx = K.mix(ranges(lo, hi) ^ K.mix(((at - lo) * 1024 + (hi - at)).astype(K.U64)))
-            ids = rb.column(0).to_numpy(zero_copy_only=False)
-            parts.append((key, ctx, ids[doc], at - first[doc]))
+            parts.append((gram, ctx, _column(rb, "key")[doc], _column(rb, "rank")[doc], at - first[doc]))
             held += len(at)
             if held >= FLUSH:
                 yield from flush(parts)
@@ -138,47 +153,49 @@ def _scan(m: Method, n_buckets: int):
     return scan
 
 
-def _replies(docs: np.ndarray, groups: int, **values) -> pa.Table:
-    """One row for each group of documents, columns packed."""
-    schema = pa.schema([("grp", pa.int32()), ("ids", pa.binary()), *((k, pa.binary()) for k in values)])
-    g = group_of(docs, groups)
+def _replies(keys: np.ndarray, groups: int, **values) -> pa.Table:
+    """One row for each group of rows, columns packed."""
+    schema = pa.schema([("grp", pa.int32()), ("keys", pa.binary()), *((k, pa.binary()) for k in values)])
+    g = group_of(keys, groups)
     order = np.argsort(g, kind="stable")
     parts = np.split(order, np.flatnonzero(np.diff(g[order])) + 1) if len(order) else []
-    cols = {"grp": [int(g[p[0]]) for p in parts], "ids": [K.planes(docs[p].astype(K.U64), 8) for p in parts]}
+    cols = {"grp": [int(g[p[0]]) for p in parts], "keys": [K.planes(keys[p].astype(K.U64), 8) for p in parts]}
     cols |= {k: [K.planes(v[p], w) for p in parts] for k, (v, w) in values.items()}
     return pa.Table.from_batches([K.table(schema, **cols)])
 
 
 def _judge(m: Method, groups: int):
     def judge(tab: pa.Table) -> pa.Table:
-        cols = [[], [], [], []]
-        for r in tab.select(["keys", "contexts", "ids", "docs", "pos"]).to_pylist():
-            ids = K.unplanes(r["ids"], 8)
-            for c, v in zip(cols, (K.unplanes(r["keys"], 5), K.unplanes(r["contexts"], 5), ids[K.unplanes(r["docs"], 4).astype(np.int64)], K.unplanes(r["pos"], 4))):
+        cols = [[], [], [], [], []]
+        for r in tab.select(["grams", "contexts", "keys", "ranks", "docs", "pos"]).to_pylist():
+            doc = K.unplanes(r["docs"], 4).astype(np.int64)
+            own = K.unplanes(r["keys"], 8)
+            rank = K.unplanes(r["ranks"], m.rank_bytes) if m.rank_bytes else np.zeros(len(own), K.U64)
+            for c, v in zip(cols, (K.unplanes(r["grams"], 5), K.unplanes(r["contexts"], 5), own[doc], rank[doc], K.unplanes(r["pos"], 5))):
                 c.append(v)
-        key, ctx, doc, pos = (np.concatenate(c) for c in cols)
-        some = K.duplicated(key)
-        key, ctx, doc, pos = key[some], ctx[some], doc[some].astype(np.int64), pos[some]
-        order = np.lexsort((pos, doc, ctx, key))
-        key, ctx, doc, pos = key[order], ctx[order], doc[order], pos[order]
-        state = m.classify(key, ctx, doc) if len(key) else np.zeros(0, np.int64)
+        gram, ctx, key, rank, pos = (np.concatenate(c) for c in cols)
+        some = K.duplicated(gram)
+        gram, ctx, key, rank, pos = gram[some], ctx[some], key[some].astype(np.int64), rank[some].astype(np.int64), pos[some]
+        order = np.lexsort((pos, key, rank, ctx, gram))
+        gram, ctx, key, rank, pos = gram[order], ctx[order], key[order], rank[order], pos[order]
+        state = m.classify(gram, ctx, rank) if len(gram) else np.zeros(0, np.int64)
         live = state > 0
-        return _replies(doc[live], groups, pos=(pos[live], 4), state=(state[live], 1))
+        return _replies(key[live], groups, pos=(pos[live], 5), state=(state[live], 1))
 
     return judge
 
 
 def _gather(tab: pa.Table, **widths) -> tuple[np.ndarray, ...]:
-    rows = tab.select(["ids", *widths]).to_pylist()
-    out = [np.concatenate([K.unplanes(r[k], w) for r in rows]) if rows else np.zeros(0, K.U64) for k, w in {"ids": 8, **widths}.items()]
+    rows = tab.select(["keys", *widths]).to_pylist()
+    out = [np.concatenate([K.unplanes(r[k], w) for r in rows]) if rows else np.zeros(0, K.U64) for k, w in {"keys": 8, **widths}.items()]
     return tuple(x.astype(np.int64) for x in out)
 
 
-def _entries(ids: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For documents ``ids``, indices into the sorted ``doc`` of their entries, and the document of each."""
-    a, b = np.searchsorted(doc, ids, "left"), np.searchsorted(doc, ids, "right")
+def _entries(keys: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For rows ``keys``, indices into the sorted ``key`` of their entries, and the row of each."""
+    a, b = np.searchsorted(key, keys, "left"), np.searchsorted(key, keys, "right")
     n = b - a
-    own = np.repeat(np.arange(len(ids)), n)
+    own = np.repeat(np.arange(len(keys)), n)
     return np.arange(len(own)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(a, n), own
 
 
@@ -197,105 +214,118 @@ def _spans(covered: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return own, start - first[own], end - first[own]
 
 
-def _meet(m: Method, n_buckets: int, schema: pa.Schema):
+def _meet(m: Method, n_buckets: int, schema: pa.Schema, carry: list[str]):
     def meet(docs: pa.Table, replies: pa.Table) -> pa.Table:
-        doc, pos, state = _gather(replies, pos=4, state=1)
-        order = np.lexsort((pos, doc))
-        doc, pos, state = doc[order], pos[order], state[order]
+        key, pos, state = _gather(replies, pos=5, state=1)
+        order = np.lexsort((pos, key))
+        key, pos, state = key[order], pos[order], state[order]
         out = []
+
+        def put(n: int, kind: int, rows: pa.RecordBatch | None = None, **vals):
+            """A batch of ``n`` rows; carried columns come from ``rows``."""
+            cols = {f.name: pa.nulls(n, f.type) for f in schema} | {"kind": pa.array(np.full(n, kind, np.int32))}
+            cols |= {k: pa.array(v, schema.field(k).type) for k, v in vals.items()}
+            for c in carry if rows is not None else ():
+                cols[c] = rows.column(rows.schema.get_field_index(c)).cast(schema.field(c).type)
+            out.append(pa.RecordBatch.from_arrays([cols[f.name] for f in schema], schema=schema))
+
         for rb, data, offs in K.slices(docs.to_batches(), "text"):
             symbols, first, more = m.tokens(data, offs)
-            ids = rb.column(rb.schema.get_field_index("doc_id")).to_numpy(zero_copy_only=False)
-            at, own = _entries(ids, doc)
+            keys = _column(rb, "key")
+            at, own = _entries(keys, key)
             inside = pos[at] + m.gram <= (first[own + 1] - first[own])
             at, own = at[inside], own[inside]
             full = state[at] & FULL > 0
             covered = _cover(first, own[full], pos[at[full]] - m.left, pos[at[full]] + m.window)
-            need = np.zeros(len(ids), bool)
+            need = np.zeros(len(keys), bool)
             need[own[state[at] & NEED > 0]] = True
-            blank = dict.fromkeys([f.name for f in schema])
             cols = m.result(data, offs, more, first, covered)
             done = np.flatnonzero(~need)
             if len(done):
-                vals = {k: [v[i] for i in done] for k, v in cols.items()}
-                out.append(K.table(schema, **{k: vals[k] if k in vals else [None] * len(done) for k in blank} | {"kind": [0] * len(done), "doc_id": ids[done]}))
+                put(len(done), 0, rb.take(pa.array(done)), **{k: [v[i] for i in done] for k, v in cols.items()})
             held = np.flatnonzero(need)
             if len(held):
                 so, a, b = _spans(covered, first)
                 lo, hi = np.searchsorted(so, held, "left"), np.searchsorted(so, held, "right")
                 texts = [data[offs[i] : offs[i + 1]].tobytes() for i in held]
-                vals = {"kind": [1] * len(held), "doc_id": ids[held], "text": texts, "a": [K.planes(a[x:y], 4) for x, y in zip(lo, hi)], "b": [K.planes(b[x:y], 4) for x, y in zip(lo, hi)]}
-                out.append(K.table(schema, **{k: vals.get(k, [None] * len(held)) for k in blank}))
+                put(len(held), 1, rb.take(pa.array(held)), key=keys[held], text=texts, a=[K.planes(a[x:y], 5) for x, y in zip(lo, hi)], b=[K.planes(b[x:y], 5) for x, y in zip(lo, hi)])
             send = state[at] & SEND > 0
             if send.any():
                 at, own = at[send], own[send]
+                rank = _column(rb, "rank")
                 p = first[own] + pos[at]
                 left, right = np.minimum(pos[at], m.left), np.minimum(first[own + 1] - p, m.window)
-                key = K.Ranges(symbols)(p, p + m.gram)
-                b = (key % K.U64(n_buckets)).astype(np.int32)
+                gram = K.Ranges(symbols)(p, p + m.gram)
+                b = (gram % K.U64(n_buckets)).astype(np.int32)
                 for part in np.split(np.argsort(b, kind="stable"), np.flatnonzero(np.diff(np.sort(b))) + 1):
                     look = p[part][:, None] + np.arange(-m.left, m.window)
                     mask = (look >= (p - left)[part][:, None]) & (look < (p + right)[part][:, None])
-                    wide = np.where(mask, _symbols(m, symbols, data, look), 0)
-                    vals = {
-                        "kind": [2], "bucket": [int(b[part[0]])], "text": [wide.astype(np.uint8 if m.symbol_bytes == 1 else "<u8").tobytes()],
-                        "a": [K.planes(key[part], 8)], "b": [K.planes(ids[own[part]].astype(K.U64), 8)],
-                        "c": [K.planes(pos[at[part]], 4) + K.planes(left[part], 1) + K.planes(right[part], 1) + K.planes(state[at[part]], 1)],
-                    }
-                    out.append(K.table(schema, **{k: vals.get(k, [None]) for k in blank}))
+                    put(
+                        1, 2, bucket=[int(b[part[0]])], text=[_wide(m, symbols, data, look, mask).tobytes()], a=[K.planes(gram[part], 8)],
+                        b=[K.planes(keys[own[part]].astype(K.U64), 8) + K.planes(rank[own[part]].astype(K.U64), m.rank_bytes)],
+                        c=[K.planes(pos[at[part]], 5) + K.planes(left[part], 1) + K.planes(right[part], 1) + K.planes(state[at[part]], 1)],
+                    )
         return pa.Table.from_batches(out, schema)
 
     return meet
 
 
-def _symbols(m: Method, symbols: np.ndarray, data: np.ndarray, look: np.ndarray) -> np.ndarray:
-    source = data if m.symbol_bytes == 1 else symbols
-    return source[np.clip(look, 0, len(source) - 1)]
+def _wide(m: Method, symbols: np.ndarray, data: np.ndarray, look: np.ndarray, mask: np.ndarray) -> np.ndarray:
+    """Contexts, row by row, each symbol cut to the method's bytes; zeros outside the document."""
+    if m.symbol_bytes == 1:
+        return np.where(mask, data[np.clip(look, 0, len(data) - 1)], 0).astype(np.uint8)
+    found = np.where(mask, symbols[np.clip(look, 0, len(symbols) - 1)], 0).astype("<u8")
+    return np.ascontiguousarray(found.view(np.uint8).reshape(*look.shape, 8)[:, :, 8 - m.symbol_bytes :])
 
 
 def _compare(m: Method, groups: int):
-    width = m.left + m.window
+    width = (m.left + m.window) * m.symbol_bytes
 
     def compare(tab: pa.Table) -> pa.Table:
-        keys, docs, poss, lefts, rights, states, wides = [], [], [], [], [], [], []
-        for r in tab.select(["text", "a", "b", "c"]).to_pylist():
-            key = K.unplanes(r["a"], 8)
-            n, c = len(key), r["c"]
-            keys.append(key)
-            docs.append(K.unplanes(r["b"], 8).astype(np.int64))
-            poss.append(K.unplanes(c[: 4 * n], 4).astype(np.int64))
-            for to, k in ((lefts, 4), (rights, 5), (states, 6)):
-                to.append(np.frombuffer(c[k * n : (k + 1) * n], np.uint8).astype(np.int64))
-            wides.append(np.frombuffer(r["text"], np.uint8 if m.symbol_bytes == 1 else "<u8").reshape(n, width))
-        key, doc, pos, left, right, state = (np.concatenate(x) for x in (keys, docs, poss, lefts, rights, states))
-        wide = np.concatenate(wides)
-        order = np.argsort(key, kind="stable")
-        cuts = np.flatnonzero(np.diff(key[order])) + 1
+        cols, views = [[] for _ in range(7)], []
+        # contexts stay where Arrow has them; only the grams at hand are copied
+        for rb in tab.select(["text", "a", "b", "c"]).to_batches():
+            for i in range(rb.num_rows):
+                gram = K.unplanes(rb.column(1)[i].as_py(), 8)
+                b, c, n = rb.column(2)[i].as_py(), rb.column(3)[i].as_py(), len(gram)
+                rank = K.unplanes(b[8 * n :], m.rank_bytes) if m.rank_bytes else np.zeros(n, K.U64)
+                small = [np.frombuffer(c[k * n : (k + 1) * n], np.uint8) for k in (5, 6, 7)]
+                for col, v in zip(cols, (gram, K.unplanes(b[: 8 * n], 8).astype(np.int64), rank.astype(np.int64), K.unplanes(c[: 5 * n], 5).astype(np.int64), *small)):
+                    col.append(v)
+                views.append(np.frombuffer(rb.column(0)[i].as_buffer(), np.uint8).reshape(n, width))
+        gram, key, rank, pos, left, right, state = (np.concatenate(x) for x in cols)
+        base = np.concatenate([[0], np.cumsum([len(v) for v in views])])
+        order = np.argsort(gram, kind="stable")
+        sizes = np.diff(np.concatenate([[0], np.flatnonzero(np.diff(gram[order])) + 1, [len(order)]]))
+        # whole grams at a time, some ten thousand contexts
+        block = np.concatenate([[0], np.cumsum(sizes)[:-1]]) // 16_384
         found_at, found = [], []
-        # whole grams at a time, some tens of thousands of contexts
-        sizes = np.diff(np.concatenate([[0], cuts, [len(order)]]))
-        block = np.concatenate([[0], np.cumsum(sizes)[:-1]]) // 32_768
-        for part in np.split(order, np.concatenate([[0], np.cumsum(sizes)])[1:-1][np.diff(block) > 0]):
-            hit = m.compare(key[part], doc[part], wide[part], left[part], right[part])
+        for part in np.split(order, np.cumsum(sizes)[:-1][np.diff(block) > 0]):
+            part = np.sort(part)
+            view = np.searchsorted(base, part, "right") - 1
+            wide = np.empty((len(part), width), np.uint8)
+            for v in np.unique(view):
+                rows = np.flatnonzero(view == v)
+                wide[rows] = views[v][part[rows] - base[v]]
+            hit = m.compare(gram[part], rank[part], wide, left[part].astype(np.int64), right[part].astype(np.int64))
             some = hit.any(axis=1) & (state[part] & NEED > 0)
             found_at.append(part[some])
             found.append((hit[some].astype(K.U64) << np.arange(hit.shape[1], dtype=K.U64)).sum(axis=1, dtype=K.U64))
         at, mask = np.concatenate(found_at), np.concatenate(found)
-        return _replies(doc[at], groups, pos=(pos[at], 4), mask=(mask, 4))
+        return _replies(key[at], groups, pos=(pos[at], 5), mask=(mask, 4))
 
     return compare
 
 
-def _finish(m: Method, schema: pa.Schema):
+def _finish(m: Method, schema: pa.Schema, carry: list[str]):
     def finish(docs: pa.Table, replies: pa.Table) -> pa.Table:
-        doc, pos, mask = _gather(replies, pos=4, mask=4)
-        order = np.argsort(doc, kind="stable")
-        doc, pos, mask = doc[order], pos[order], mask[order]
+        key, pos, mask = _gather(replies, pos=5, mask=4)
+        order = np.argsort(key, kind="stable")
+        key, pos, mask = key[order], pos[order], mask[order]
         out = []
         for rb, data, offs in K.slices(docs.to_batches(), "text"):
             _, first, more = m.tokens(data, offs)
-            ids = rb.column(rb.schema.get_field_index("doc_id")).to_numpy(zero_copy_only=False)
-            at, own = _entries(ids, doc)
+            at, own = _entries(_column(rb, "key"), key)
             los, owns = [], []
             for o in range(m.left + 1):
                 bit = (mask[at] >> o) & 1 > 0
@@ -303,37 +333,43 @@ def _finish(m: Method, schema: pa.Schema):
                 owns.append(own[bit])
             lo, who = np.concatenate(los), np.concatenate(owns)
             hi = lo + m.window
-            a = [K.unplanes(x, 4).astype(np.int64) for x in rb.column(rb.schema.get_field_index("a")).to_pylist()]
-            b = [K.unplanes(x, 4).astype(np.int64) for x in rb.column(rb.schema.get_field_index("b")).to_pylist()]
+            a = [K.unplanes(x, 5).astype(np.int64) for x in rb.column(rb.schema.get_field_index("a")).to_pylist()]
+            b = [K.unplanes(x, 5).astype(np.int64) for x in rb.column(rb.schema.get_field_index("b")).to_pylist()]
             who = np.concatenate([who, np.repeat(np.arange(len(a)), [len(x) for x in a])])
             covered = _cover(first, who, np.concatenate([lo, *a]), np.concatenate([hi, *b]))
-            cols = m.result(data, offs, more, first, covered)
-            out.append(K.table(schema, doc_id=ids, **{k: list(v) for k, v in cols.items()}))
+            cols = {k: pa.array(list(v), schema.field(k).type) for k, v in m.result(data, offs, more, first, covered).items()}
+            cols |= {c: rb.column(rb.schema.get_field_index(c)).cast(schema.field(c).type) for c in carry}
+            out.append(pa.RecordBatch.from_arrays([cols[f.name] for f in schema], schema=schema))
         return pa.Table.from_batches(out, schema)
 
     return finish
 
 
-def repeated(docs: DataFrame, m: Method, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row with ``m.columns`` for each row of ``docs``."""
+def repeated(docs: DataFrame, m: Method, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
+    """``doc_id``, ``m.columns`` and the columns named in ``carry`` (strings) for each row of ``docs``."""
     spark = docs.sparkSession
     small_batches(spark)
     n = buckets(docs, text_col)
     groups = n | 1
-    rows = docs.select(F.coalesce(docs[id_col].cast("long"), F.lit(NO_ID)).alias("doc_id"), docs[text_col].cast("string").alias("text"))
-    anchors = rows.mapInArrow(_scan(m, n), "bucket int,keys binary,contexts binary,ids binary,docs binary,pos binary")
-    states = stored(anchors.groupBy("bucket").applyInArrow(_judge(m, groups), "grp int,ids binary,pos binary,state binary"), m.name + "-states")
+    kept = [f"carried_{i}" for i in range(len(carry))]
+    rows = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("string").alias("text"), *[docs[c].cast("string").alias(k) for c, k in zip(carry, kept)])
+    key = F.xxhash64("doc_id", F.coalesce("text", F.lit("")))
+    rows = rows.select(key.alias("key"), F.coalesce("doc_id", F.lit(NO_ID)).alias("rank"), "*")
+    anchors = rows.select("key", "rank", "text").mapInArrow(_scan(m, n), _ANCHORS)
+    states = stored(anchors.groupBy("bucket").applyInArrow(_judge(m, groups), "grp int,keys binary,pos binary,state binary"), m.name + "-states")
     del anchors  # what holds a plan holds its shuffle files
     release(spark)
-    ddl = "kind int,doc_id long,bucket int,text binary,a binary,b binary,c binary," + m.columns
-    schema = K.arrow_schema(ddl)
-    left = rows.withColumn("grp", group_column(F.col("doc_id"), groups)).groupBy("grp")
-    met = stored(left.cogroup(states.groupBy("grp")).applyInArrow(_meet(m, n, schema), ddl), m.name + "-met")
+    borne = ["doc_id", *kept]
+    tail = "doc_id long" + "".join(f",{k} string" for k in kept)
+    ddl = f"kind int,key long,bucket int,text binary,a binary,b binary,c binary,{m.columns},{tail}"
+    left = rows.withColumn("grp", group_column(F.col("key"), groups)).groupBy("grp")
+    met = stored(left.cogroup(states.groupBy("grp")).applyInArrow(_meet(m, n, K.arrow_schema(ddl), borne), ddl), m.name + "-met")
+    discard(states)
     release(spark)
-    found = met.where("kind = 2").select("bucket", "text", "a", "b", "c").groupBy("bucket").applyInArrow(_compare(m, groups), "grp int,ids binary,pos binary,mask binary")
-    end = "doc_id long," + m.columns
-    held = met.where("kind = 1").select("doc_id", "text", "a", "b").withColumn("grp", group_column(F.col("doc_id"), groups)).groupBy("grp")
-    late = held.cogroup(found.groupBy("grp")).applyInArrow(_finish(m, K.arrow_schema(end)), end)
+    found = met.where("kind = 2").select("bucket", "text", "a", "b", "c").groupBy("bucket").applyInArrow(_compare(m, groups), "grp int,keys binary,pos binary,mask binary")
+    end = f"{m.columns},{tail}"
+    held = met.where("kind = 1").select("key", "text", "a", "b", *borne).withColumn("grp", group_column(F.col("key"), groups)).groupBy("grp")
+    late = held.cogroup(found.groupBy("grp")).applyInArrow(_finish(m, K.arrow_schema(end), borne), end)
     names = [x.split()[0] for x in m.columns.split(",")]
-    both = met.where("kind = 0").select("doc_id", *names).unionByName(late)
-    return both.select(F.when(F.col("doc_id") != NO_ID, F.col("doc_id")).alias("doc_id"), *names)
+    both = met.where("kind = 0").select(*names, *borne).unionByName(late)
+    return both.select("doc_id", *names, *[F.col(k).alias(c) for c, k in zip(carry, kept)])

@@ -12,9 +12,10 @@ own order, and in sorted signature order near-duplicates are neighbours with a l
    confirmed on full sets, and components formed.
 3. The regions are read again, whole: in a region that still holds several components, members that might be linked
    across components are tied to one of them, its hub, and form its family.  Links that remain are found exactly in
-   each family, see ``_apart``: members are compared by what sets them apart from the family's centre, its majority set, and
-   meet only where they share a rare difference.  So a crowd that just misses the threshold costs little, and no pair is
-   made for two documents that are known to hang together.
+   each family.  One that fits in a block is compared there, all with all.  In larger ones, see ``_apart``, members are
+   compared by what sets them apart from the family's centre, its majority set, and meet only where they share a rare
+   difference.  So a crowd that just misses the threshold costs little, and no pair is made for two documents that are
+   known to hang together.
 
 Links are confirmed in blocks: candidates form families, families are dealt to blocks of some hundred kilobytes, and
 a full set travels once to each bucket of pairs of blocks that has a candidate pair of it, not once for each pair.
@@ -53,6 +54,9 @@ LABELS = 32
 AT_ONCE = 4 << 20
 #: Bytes of full sets in one block of a family, on average.
 BLOCK_BYTES = 512 << 10
+#: Members of one block of a family of a hub, and bytes of their full sets, on average.
+HUB_MEMBERS = 1024
+HUB_BYTES = 32 << 20
 #: Candidate pairs between two blocks of a family, on average.
 BLOCK_PAIRS = 1 << 16
 #: Bytes of full sets that one task holds, on average, if every set were needed.
@@ -185,7 +189,7 @@ class Rules:
     def sizes(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         return 100 * np.minimum(a, b) >= self.percent * np.maximum(a, b)
 
-    def links(self, both: int, a: int, b: int) -> bool:
+    def links(self, both, a, b):
         """The exact decision: sets of ``a`` and ``b`` elements with ``both`` in common."""
         return 100 * both >= self.percent * (a + b - both)
 
@@ -335,6 +339,39 @@ def _confirm(rules: Rules):
     return run
 
 
+def _within(rules: Rules):
+    """Links between components in families of one block each, every member against every other."""
+
+    def run(tab: pa.Table) -> pa.Table:
+        of: dict[int, list] = {}
+        for r in tab.select(["family", "node", "component", "shingles"]).to_pylist():
+            of.setdefault(r["family"], []).append((r["node"], r["component"], K.unplanes(r["shingles"], WIDTH)))
+        out = []
+        for rows in of.values():
+            n = np.array([len(x) for _, _, x in rows])
+            comp = np.array([c for _, c, _ in rows])
+            _, element, count = np.unique(np.concatenate([x for _, _, x in rows]), return_inverse=True, return_counts=True)
+            member = np.repeat(np.arange(len(rows)), n)
+            own = np.flatnonzero(count > 1)
+            at = np.searchsorted(own, element)
+            both = np.zeros((len(rows), len(rows)), np.float32)
+            held = np.flatnonzero(count[element] > 1)
+            held = held[np.argsort(at[held], kind="stable")]
+            cuts = np.searchsorted(at[held], np.arange(0, len(own) + 4096, 4096))
+            for x, (lo, hi) in enumerate(zip(cuts[:-1], cuts[1:])):
+                m = np.zeros((len(rows), 4096), np.float32)
+                m[member[held[lo:hi]], at[held[lo:hi]] - 4096 * x] = 1
+                both += m @ m.T
+            both = both.astype(np.int64)
+            i, j = np.nonzero(rules.links(both, n[:, None], n[None, :]) & (comp[:, None] < comp[None, :]))
+            # one link for two components is enough
+            _, one = np.unique(np.stack([comp[i], comp[j]]), axis=1, return_index=True)
+            out += [(rows[a][0], rows[b][0]) for a, b in zip(i[one], j[one])]
+        return pa.table({"a": pa.array([a for a, _ in out], pa.int64()), "b": pa.array([b for _, b in out], pa.int64())})
+
+    return run
+
+
 def _centres(tab: pa.Table) -> pa.Table:
     """For each family, the elements that more than half of one block of its members hold."""
     of: dict[int, list[np.ndarray]] = {}
@@ -433,8 +470,10 @@ def near_duplicates(docs: DataFrame, *, size: int = 5, percent: int = 80, id_col
 
     def blocks(family: DataFrame, pairs: DataFrame | None = None) -> DataFrame:
         """Members of families ``(node, component)``, dealt to blocks by the weight of their sets and the number of pairs."""
-        sized = family.join(reps.select("node", "n"), "node").groupBy("component").agg(F.ceil(WIDTH * F.sum("n") / BLOCK_BYTES).cast("long").alias("k"))
-        if pairs is not None:
+        sized = family.join(reps.select("node", "n"), "node").groupBy("component").agg(F.ceil(WIDTH * F.sum("n") / (HUB_BYTES if pairs is None else BLOCK_BYTES)).cast("long").alias("k"), F.count(F.lit(1)).alias("m"))
+        if pairs is None:
+            sized = sized.select("component", F.greatest("k", F.ceil(F.col("m") / HUB_MEMBERS)).alias("k"))
+        else:
             many = pairs.groupBy(F.col("a").alias("node")).count().join(family, "node").groupBy("component").agg(F.ceil(F.sqrt(F.sum("count") / BLOCK_PAIRS)).cast("long").alias("by_pairs"))
             sized = sized.join(many, "component").select("component", F.greatest("k", "by_pairs").alias("k"))
         salt = F.pmod(F.xxhash64("node"), F.col("k"))
@@ -465,63 +504,71 @@ def near_duplicates(docs: DataFrame, *, size: int = 5, percent: int = 80, id_col
     ties = stored(regions(components(links), _hubs(kind, rules), "node long,hub long").distinct(), "minhash-ties")
     release(spark)
     if not ties.isEmpty():
-        place = stored(blocks(ties.select("node", F.col("hub").alias("component"))).withColumnRenamed("component", "family"), "minhash-families")
+        families = stored(blocks(ties.select("node", F.col("hub").alias("component"))).withColumnRenamed("component", "family"), "minhash-families")
         discard(ties)
-        sets = gathered(place.select("node"))
+        sets = gathered(families.select("node"))
         task = F.pmod(F.xxhash64("block"), F.lit(n_tasks)).alias("task")
-        lead = place.where("salt = 0").join(sets, "node").select(F.pmod(F.xxhash64("family"), F.lit(n_tasks)).alias("task"), "family", "shingles")
-        centres = stored(lead.groupBy("task").applyInArrow(_centres, "family long,core binary"), "minhash-centres")
-
-        def apart(place: DataFrame, elements: bool) -> DataFrame:
-            mine = place.join(sets, "node").select(task, "block", "family", "node", "shingles")
-            heads = place.select("family", "k").distinct().join(centres, "family").select("family", F.explode(F.sequence(F.lit(0).cast("long"), F.col("k") - 1)).alias("salt"), "core")
-            heads = heads.select(F.xxhash64("family", "salt").alias("block"), "core").select("block", "core", task.alias("head_task"))
-            return mine.groupBy("task").cogroup(heads.groupBy("head_task")).applyInArrow(_apart(rules, elements), _ELEMENTS if elements else _STANDING)
-
-        def standing_in(labels: DataFrame) -> DataFrame:
-            """Members of families that still hold several components, with their component."""
-            named = standing.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-            mixed = named.groupBy("family").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("family")
-            return named.join(mixed, "family", "left_semi")
-
-        standing = stored(apart(place, False), "minhash-standing")
-        release(spark)
-        nearest = standing.groupBy("family").agg(F.min_by("node", F.struct("excess", "node")).alias("r"))
-        first = stored(standing_in(components(links)).select("family", "node", "component"), "minhash-first")
-        own = first.join(nearest.withColumnRenamed("r", "node"), ["family", "node"]).select("family", F.col("node").alias("r"), F.col("component").alias("r_component"))
-        direct = first.join(own, "family").where("component <> r_component").select(F.least("node", "r").alias("a"), F.greatest("node", "r").alias("b")).distinct()
-        direct = stored(direct, "minhash-direct")
-        links = links.unionByName(confirmed(direct, sets))
-        discard(first, direct)
-        release(spark)
-
-        rest = stored(standing_in(components(links)), "minhash-rest")
-        tops = rest.join(nearest, "family").where("node = r").select("family", F.col("component").alias("r_component"), F.col("excess").alias("m1"))
-        rest = rest.join(tops, "family").withColumn("inside", F.col("component") == F.col("r_component"))
-        outer = rest.where("not inside").groupBy("family").agg(F.min("excess").alias("m2"))
-        scale = 2 * (100 + percent)
-        rest = rest.join(outer, "family")
-        rest = rest.withColumn("few", F.expr(f"n + 1 - greatest(1, ceil((excess + m2) / {scale}))"))
-        rest = rest.withColumn("most", F.expr(f"if(inside, few, greatest(few, n + 1 - greatest(1, ceil((excess + m1) / {scale}), ceil((excess - least) / 200))))"))
-        rest = stored(rest.select("family", "node", "component", "inside", "n", "excess", "few", "most").where("most > 0"), "minhash-rest")
-        found = stored(apart(place.join(rest.select("family", "node"), ["family", "node"], "left_semi"), True), "minhash-differences")
-        shared = found.groupBy("family", "element").count().where("count > 1")
-        mine = found.join(shared, ["family", "element"])
-        of = W.partitionBy("family", "node")
-        ranked = mine.select("family", "node", "element", F.row_number().over(of.orderBy("count", "element")).alias("at"), F.count(F.lit(1)).over(of).alias("m"))
-        ranked = ranked.join(rest, ["family", "node"]).withColumn("at", F.col("n") - F.col("m") + F.col("at")).where("at <= most")
-        ranked = stored(ranked.select("family", "element", "node", "component", "inside", "n", "excess", (F.col("at") <= F.col("few")).alias("short")), "minhash-ranked")
-        discard(found, rest)
-        x, y = (ranked.select("family", "element", *[F.col(c).alias(f"{c}_{s}") for c in ("node", "component", "inside", "short", "excess", "n")]) for s in "xy")
-        possible = F.expr(f"excess_x + excess_y <= {scale} * least(n_x, n_y)")
-        once = F.col("inside_x") | (F.col("short_y") & (F.col("node_x") < F.col("node_y")))
-        met = x.where("short_x").join(y.where("not inside_y"), ["family", "element"]).where((F.col("component_x") != F.col("component_y")) & once & possible)
-        pairs = stored(met.select(F.least("node_x", "node_y").alias("a"), F.greatest("node_x", "node_y").alias("b")).distinct(), "minhash-between")
-        discard(place, centres, standing, ranked)
+        labels = components(links)
+        small = families.where("k = 1").join(labels, "node", "left").select(F.pmod(F.xxhash64("family"), F.lit(n_tasks)).alias("task"), "family", "node", F.coalesce("component", "node").alias("component"))
+        inner = small.join(sets, "node").select("task", "family", "node", "component", "shingles").groupBy("task").applyInArrow(_within(rules), "a long,b long")
+        links = links.unionByName(stored(inner, "minhash-links"))
         release(spark)
-        if not pairs.isEmpty():
-            links = links.unionByName(confirmed(pairs, sets))
-        discard(pairs)
+        place = families.where("k > 1")
+        if not place.isEmpty():
+            lead = place.where("salt = 0").join(sets, "node").select(F.pmod(F.xxhash64("family"), F.lit(n_tasks)).alias("task"), "family", "shingles")
+            centres = stored(lead.groupBy("task").applyInArrow(_centres, "family long,core binary"), "minhash-centres")
+
+            def apart(place: DataFrame, elements: bool) -> DataFrame:
+                mine = place.join(sets, "node").select(task, "block", "family", "node", "shingles")
+                heads = place.select("family", "k").distinct().join(centres, "family").select("family", F.explode(F.sequence(F.lit(0).cast("long"), F.col("k") - 1)).alias("salt"), "core")
+                heads = heads.select(F.xxhash64("family", "salt").alias("block"), "core").select("block", "core", task.alias("head_task"))
+                return mine.groupBy("task").cogroup(heads.groupBy("head_task")).applyInArrow(_apart(rules, elements), _ELEMENTS if elements else _STANDING)
+
+            def standing_in(labels: DataFrame) -> DataFrame:
+                """Members of families that still hold several components, with their component."""
+                named = standing.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+                mixed = named.groupBy("family").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("family")
+                return named.join(mixed, "family", "left_semi")
+
+            standing = stored(apart(place, False), "minhash-standing")
+            release(spark)
+            nearest = standing.groupBy("family").agg(F.min_by("node", F.struct("excess", "node")).alias("r"))
+            first = stored(standing_in(components(links)).select("family", "node", "component"), "minhash-first")
+            own = first.join(nearest.withColumnRenamed("r", "node"), ["family", "node"]).select("family", F.col("node").alias("r"), F.col("component").alias("r_component"))
+            direct = first.join(own, "family").where("component <> r_component").select(F.least("node", "r").alias("a"), F.greatest("node", "r").alias("b")).distinct()
+            direct = stored(direct, "minhash-direct")
+            links = links.unionByName(confirmed(direct, sets))
+            discard(first, direct)
+            release(spark)
+
+            rest = stored(standing_in(components(links)), "minhash-rest")
+            tops = rest.join(nearest, "family").where("node = r").select("family", F.col("component").alias("r_component"), F.col("excess").alias("m1"))
+            rest = rest.join(tops, "family").withColumn("inside", F.col("component") == F.col("r_component"))
+            outer = rest.where("not inside").groupBy("family").agg(F.min("excess").alias("m2"))
+            scale = 2 * (100 + percent)
+            rest = rest.join(outer, "family")
+            rest = rest.withColumn("few", F.expr(f"n + 1 - greatest(1, ceil((excess + m2) / {scale}))"))
+            rest = rest.withColumn("most", F.expr(f"if(inside, few, greatest(few, n + 1 - greatest(1, ceil((excess + m1) / {scale}), ceil((excess - least) / 200))))"))
+            rest = stored(rest.select("family", "node", "component", "inside", "n", "excess", "few", "most").where("most > 0"), "minhash-rest")
+            found = stored(apart(place.join(rest.select("family", "node"), ["family", "node"], "left_semi"), True), "minhash-differences")
+            shared = found.groupBy("family", "element").count().where("count > 1")
+            mine = found.join(shared, ["family", "element"])
+            of = W.partitionBy("family", "node")
+            ranked = mine.select("family", "node", "element", F.row_number().over(of.orderBy("count", "element")).alias("at"), F.count(F.lit(1)).over(of).alias("m"))
+            ranked = ranked.join(rest, ["family", "node"]).withColumn("at", F.col("n") - F.col("m") + F.col("at")).where("at <= most")
+            ranked = stored(ranked.select("family", "element", "node", "component", "inside", "n", "excess", (F.col("at") <= F.col("few")).alias("short")), "minhash-ranked")
+            discard(found, rest)
+            x, y = (ranked.select("family", "element", *[F.col(c).alias(f"{c}_{s}") for c in ("node", "component", "inside", "short", "excess", "n")]) for s in "xy")
+            possible = F.expr(f"excess_x + excess_y <= {scale} * least(n_x, n_y)")
+            once = F.col("inside_x") | (F.col("short_y") & (F.col("node_x") < F.col("node_y")))
+            met = x.where("short_x").join(y.where("not inside_y"), ["family", "element"]).where((F.col("component_x") != F.col("component_y")) & once & possible)
+            pairs = stored(met.select(F.least("node_x", "node_y").alias("a"), F.greatest("node_x", "node_y").alias("b")).distinct(), "minhash-between")
+            discard(centres, standing, ranked)
+            release(spark)
+            if not pairs.isEmpty():
+                links = links.unionByName(confirmed(pairs, sets))
+            discard(pairs)
+        discard(families)
     discard(*known)
     labels = components(links)
     named = reps.select("node", "rep").join(labels, "node", "left").select("node", "rep", F.coalesce("component", "node").alias("component"))

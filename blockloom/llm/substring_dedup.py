@@ -6,8 +6,8 @@ twice that length; the last step goes to the full window.  The first level takes
 further levels; the others go through them here.
 
 Defined cases: null text has no words; fewer words than the window keep all; repeated rows repeat each other's
-windows, so all their covered words go; ids are not compared, and a null id is a document like any other; other
-columns are ignored.
+windows, so all their covered words go; ids are not compared, so rows that share an id or have none are documents like
+any other; an empty table gives an empty result; other columns are ignored unless named in ``carry``.
 """
 
 from __future__ import annotations
@@ -22,6 +22,8 @@ from .anchors import FULL, NEED, SEND, Method, repeated
 
 WINDOW = 35
 GRAM = 8
+#: Bytes of a word's hash in a context.
+SYMBOL = 5
 
 
 def classify(key: np.ndarray, ctx: np.ndarray, doc: np.ndarray) -> np.ndarray:
@@ -34,29 +36,35 @@ def classify(key: np.ndarray, ctx: np.ndarray, doc: np.ndarray) -> np.ndarray:
     return np.where(size > 1, FULL, NEED | SEND) | np.where(new_ctx & lone, SEND, 0)
 
 
-def compare(key: np.ndarray, doc: np.ndarray, wide: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+def compare(gram: np.ndarray, rank: np.ndarray, wide: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
     """Windows that occur twice; column ``d`` is the window that starts ``d`` words before the gram."""
     reach = WINDOW - GRAM
-    n = len(key)
-    up, _ = K.powers(reach + WINDOW)
-    sums = np.zeros((n, reach + WINDOW + 1), K.U64)
-    np.cumsum(wide * up[: reach + WINDOW], axis=1, out=sums[:, 1:])
-    salt = K.mix(key)
+    n = len(gram)
+    up, _ = K.powers(WINDOW)
+    salt = K.mix(gram)
 
-    def twice(rows: np.ndarray, d: int, length: int) -> np.ndarray:
-        rows = rows[(left[rows] >= d) & (right[rows] >= length - d)]
-        return rows[K.duplicated(K.mix((sums[rows, reach - d + length] - sums[rows, reach - d]) ^ salt[rows]))] if len(rows) else rows
+    def word(rows: np.ndarray, at: int) -> np.ndarray:
+        out = np.zeros((len(rows), 8), np.uint8)
+        out[:, :SYMBOL] = wide[rows, at * SYMBOL : (at + 1) * SYMBOL]
+        return K.mix(out.view("<u8").reshape(-1).astype(K.U64))
 
-    alive, length = K.duplicated(key)[:, None], GRAM
+    every = np.arange(n)
+    alive, length = K.duplicated(gram)[:, None], GRAM
     while True:
         longer = min(2 * length, WINDOW)
         more = np.zeros((n, longer - GRAM + 1), bool)
+        # the hash of a window rolls one word to the left at a time
+        h = np.zeros(n, K.U64)
+        for k in range(longer):
+            h += word(every, reach + k) * up[k]
         for d in range(longer - GRAM + 1):
+            if d:
+                h = (h - word(every, reach - d + longer) * up[longer - 1]) * up[1] + word(every, reach - d)
             # the shorter windows through the gram that lie inside this one
             inside = alive[:, max(0, d - (longer - length)) : min(d, length - GRAM) + 1]
-            rows = np.flatnonzero(inside.all(axis=1))
+            rows = np.flatnonzero(inside.all(axis=1) & (left >= d) & (right >= longer - d))
             if len(rows):
-                more[twice(rows, d, longer), d] = True
+                more[rows[K.duplicated(K.mix(h[rows] ^ salt[rows]))], d] = True
         if longer == WINDOW or not more.any():
             return more if longer == WINDOW else np.zeros((n, reach + 1), bool)
         alive, length = more, longer
@@ -86,10 +94,11 @@ def _kept_text(data, offs, w, first, covered):
     return {"n_removed": K.counts(covered, first), "kept": kept}
 
 
-DIGEST = Method("op7", WINDOW, GRAM, tokens, classify, compare, _result, "n_words long,n_removed long,kept_sha256 string", 8)
-TEXT = Method("op7-text", WINDOW, GRAM, tokens, classify, compare, _kept_text, "n_removed long,kept string", 8)
+DIGEST = Method("op7", WINDOW, GRAM, tokens, classify, compare, _result, "n_words long,n_removed long,kept_sha256 string", SYMBOL, 0)
+TEXT = Method("op7-text", WINDOW, GRAM, tokens, classify, compare, _kept_text, "n_removed long,kept string", SYMBOL, 0)
 
 
-def substring_dedup(docs: DataFrame, *, text: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id`` with counts and the digest of the words left, or with ``text`` the words themselves."""
-    return repeated(docs, TEXT if text else DIGEST, id_col, text_col)
+def substring_dedup(docs: DataFrame, *, text: bool = False, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
+    """``doc_id`` with counts and the digest of the words left, or with ``text`` the words themselves; ``carry`` names columns to
+    hand through (as strings)."""
+    return repeated(docs, TEXT if text else DIGEST, id_col, text_col, carry)

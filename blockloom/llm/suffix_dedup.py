@@ -8,9 +8,11 @@ The corpus gets a sparse suffix array: ``anchors`` brings together suffixes whos
 here each such group is put in suffix order, once for each distance between a window's start and the anchor.  The
 order for distance ``d`` is induced from that for ``d - 1`` by one stable pass over the byte in front.
 
+A context that repeats as a whole in an earlier document is settled by its hash; suffix order decides all others.
+
 Defined cases: null text is empty, nothing is removed; texts shorter than the window keep all; equal ids never
-remove from each other (repeated rows keep their text); a null id counts as the largest; other columns are
-ignored.
+remove from each other, whatever their texts (repeated rows keep their text); null ids count as the largest and as equal;
+an empty table gives an empty result; other columns are ignored unless named in ``carry``.
 """
 
 from __future__ import annotations
@@ -95,32 +97,49 @@ def classify(key: np.ndarray, ctx: np.ndarray, doc: np.ndarray) -> np.ndarray:
     return state | np.where(first, SEND, 0) | np.where(first & (ctx_min > key_min), NEED, 0)
 
 
-def compare(key: np.ndarray, doc: np.ndarray, wide: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """Windows that an earlier document holds; column ``d`` is the window that starts ``d`` bytes before the anchor."""
+def earlier(rank: np.ndarray, lcp: np.ndarray, length: int) -> np.ndarray:
+    """For each place in suffix order, whether its longest previous factor has ``length``: whether a suffix of smaller
+    rank stands before it or after it (the previous and the next smaller place) with no common prefix below ``length``
+    in between.  ``lcp`` is capped at ``length``, so within a stretch all matches are equally long."""
+    n = len(rank)
+    if not n:
+        return np.zeros(0, bool)
+    stretch = np.cumsum(np.concatenate([[0], lcp[1:] < length]))
+    # running minima of each stretch: ranks as codes, falling by a full range from one stretch to the next
+    code = np.unique(rank, return_inverse=True)[1].astype(np.int64)
+    high = int(code.max()) + 1
+    before = np.minimum.accumulate(code - stretch * high) + stretch * high
+    back = stretch[-1] - stretch
+    after = (np.minimum.accumulate((code - back * high)[::-1]))[::-1] + back * high
+    return (before < code) | (after < code)
+
+
+def compare(gram: np.ndarray, rank: np.ndarray, wide: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Windows that an earlier document holds; column ``d`` is the window that starts ``d`` bytes before the anchor.
+
+    The suffixes that start ``d`` bytes before the anchors are put in suffix order, neighbours' common prefixes are taken
+    byte by byte, and ``earlier`` tells where the longest previous factor fills the window."""
     reach = WINDOW - GRAM
-    n = len(key)
+    n = len(gram)
     hit = np.zeros((n, reach + 1), bool)
-    gram = np.unique(key, return_inverse=True)[1].astype(np.uint16 if n < 65_536 else np.int64)
+    code = np.unique(gram, return_inverse=True)[1].astype(np.uint16 if n < 65_536 else np.int64)
     padded = np.zeros((n, 56), np.uint8)
     padded[:, :WINDOW] = wide[:, reach:]
     words = padded.view(">u8")
-    order = np.lexsort((*(words[:, i] for i in range(6, -1, -1)), gram))
-    up, _ = K.powers(reach + WINDOW)
-    sums = np.zeros((n, reach + WINDOW + 1), K.U64)
-    np.cumsum(K.BYTE_HASH[wide] * up[: reach + WINDOW], axis=1, out=sums[:, 1:])
+    order = np.lexsort((*(words[:, i] for i in range(6, -1, -1)), code))
     for d in range(reach + 1):
         if d:
             order = order[np.argsort(wide[order, reach - d], kind="stable")]
-            order = order[np.argsort(gram[order], kind="stable")]
+            order = order[np.argsort(code[order], kind="stable")]
         at = order[(left[order] >= d) & (right[order] >= WINDOW - d)]
-        if not len(at):
+        if len(at) < 2:
             continue
-        text = sums[at, reach + WINDOW - d] - sums[at, reach - d]
-        # neighbours whose common prefix reaches the window; an earlier document anywhere in such a stretch is a
-        # previous or next smaller one with a long enough match
-        start = np.concatenate([[True], (text[1:] != text[:-1]) | (gram[at][1:] != gram[at][:-1])])
-        least = np.minimum.reduceat(doc[at], np.flatnonzero(start))[np.cumsum(start) - 1]
-        hit[at, d] = least < doc[at]
+        text = wide[at, reach - d : reach - d + WINDOW]
+        differ = text[1:] != text[:-1]
+        lcp = np.zeros(len(at), np.int64)
+        lcp[1:] = np.where(differ.any(axis=1), differ.argmax(axis=1), WINDOW)
+        lcp[1:][code[at][1:] != code[at][:-1]] = 0
+        hit[at, d] = earlier(rank[at], lcp, WINDOW)
     return hit
 
 
@@ -145,10 +164,11 @@ def _kept_text(data, offs, more, first, covered):
     return {"n_removed": K.counts(covered, first), "kept": kept}
 
 
-DIGEST = Method("op6", WINDOW, GRAM, tokens, classify, compare, _result, "n_bytes long,n_removed long,n_spans long,kept_sha256 string", 1)
-TEXT = Method("op6-text", WINDOW, GRAM, tokens, classify, compare, _kept_text, "n_removed long,kept string", 1)
+DIGEST = Method("op6", WINDOW, GRAM, tokens, classify, compare, _result, "n_bytes long,n_removed long,n_spans long,kept_sha256 string", 1, 8)
+TEXT = Method("op6-text", WINDOW, GRAM, tokens, classify, compare, _kept_text, "n_removed long,kept string", 1, 8)
 
 
-def suffix_dedup(docs: DataFrame, *, text: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id`` with counts and the digest of what is left, or with ``text`` what is left itself."""
-    return repeated(docs, TEXT if text else DIGEST, id_col, text_col)
+def suffix_dedup(docs: DataFrame, *, text: bool = False, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
+    """``doc_id`` with counts and the digest of what is left, or with ``text`` what is left itself; ``carry`` names columns to
+    hand through (as strings)."""
+    return repeated(docs, TEXT if text else DIGEST, id_col, text_col, carry)

@@ -59,18 +59,25 @@ def test_longest_previous_factor(s):
 def test_doubling_finds_windows_that_occur_twice():
     rng = np.random.default_rng(0)
     n, reach = 200, substring_dedup.WINDOW - substring_dedup.GRAM
-    wide = rng.integers(0, 2**60, (n, reach + substring_dedup.WINDOW)).astype(K.U64)
+    wide = rng.integers(0, 256, (n, reach + substring_dedup.WINDOW, substring_dedup.SYMBOL)).astype(np.uint8)
     wide[:, reach : reach + 8] = wide[0, reach : reach + 8]
     for i in range(1, n, 2):  # a shared stretch of random width around the gram
         a, b = rng.integers(0, reach + 1), rng.integers(reach + 8, wide.shape[1] + 1)
         wide[i, a:b] = wide[0, a:b]
     key, side = np.zeros(n, K.U64), np.full(n, 100)
-    got = substring_dedup.compare(key, np.arange(n), wide, side, side)
+    got = substring_dedup.compare(key, np.arange(n), wide.reshape(n, -1), side, side)
     for d in range(reach + 1):
         rows = [wide[i, reach - d : reach - d + substring_dedup.WINDOW].tobytes() for i in range(n)]
         assert got[:, d].tolist() == [rows.count(r) > 1 for r in rows]
 
 
+@given(st.lists(st.tuples(st.integers(0, 5), st.integers(0, 9)), max_size=40))
+@settings(deadline=None)
+def test_earlier_is_the_longest_previous_factor_that_fills_a_window(rows):
+    rank, lcp = np.array([r for r, _ in rows], np.int64), np.array([min(x, 6) for _, x in rows], np.int64)
+    assert suffix_dedup.earlier(rank, lcp, 6).tolist() == (suffix_dedup.longest_earlier(rank, lcp) >= 6).tolist()
+
+
 def test_hilbert_keys_are_a_walk():
     grid = np.stack(np.meshgrid(*[np.arange(8)] * 3, indexing="ij"), -1).reshape(-1, 3)
     keys = hilbert_search.hilbert_keys(grid, 3)
@@ -166,28 +173,6 @@ def test_encoding_equals_the_library(data):
     assert [m.decode(x) for x in m.encode(texts)] == sp.decode(sp.encode(texts))
 
 
-def test_crowded_regions_lose_no_pair(monkeypatch):
-    monkeypatch.setattr(minhash, "CROWD", 2)
-    rng = random.Random(4)
-    base = [f"w{i}" for i in range(200)]
-    texts = []
-    for _ in range(80):  # about the threshold from each other
-        w = list(base)
-        for k in rng.sample(range(200), 5):
-            w[k] = f"x{rng.random()}"
-        texts.append(" ".join(w))
-    h, doc, n = minhash.shingles(*slice_of(texts), 2)
-    sig = minhash.signatures(h, n)
-    forest, kind = minhash._forest(1)
-    rb = pa.record_batch({"rep": pa.array(range(80), pa.int64()), "n": pa.array(n, pa.int32()), "signature": pa.array([x.tobytes() for x in sig]), "component": pa.array(range(80), pa.int64())})
-    members = list(forest([rb]))
-    sets = [set(h[doc == i].tolist()) for i in range(80)]
-    lead = sig[:, minhash._ORDER[:, : minhash.DEPTH]] >> np.uint32(16)
-    like = {(i, j) for j in range(80) for i in range(j) if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]) and (lead[i] == lead[j]).all(axis=1).any()}
-    made = lambda how: {p for rb in minhash._between(kind, minhash.Rules(80), how)(iter(members)) for p in zip(rb.column(0).to_pylist(), rb.column(1).to_pylist())}
-    assert len(like) > 300 and like <= made("all")
-    assert made("best") == made("all") and {i for p in made("each") for i in p} == {i for p in made("all") for i in p}
-
 
 def test_lexicon_keeps_a_word_of_many_copies_and_few_left_words():
     rng = random.Random(1)

@@ -47,32 +47,55 @@ def empty(spark):
     return spark.createDataFrame([], SCHEMA)
 
 
-def test_suffix_dedup(docs, empty):
-    rows = corpus()
+def shared_ids():
+    """The corpus, and rows without an id or with one id whose texts differ."""
+    rng = random.Random(8)
+    other = lambda n: " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
+    passage = other(60)
+    rows = [(None, passage), (None, other(100)), (None, other(30) + " " + passage), (9, other(40) + " " + passage), (9, other(120)), (9, other(120)), (70, passage + " " + other(20))]
+    return corpus() + rows + rows[:2]
+
+
+def table(spark, rows):
+    return spark.createDataFrame([(i, t, "en" if i and i % 2 else None, "s", len(t or ""), True, i, i, "k") for i, t in rows], SCHEMA).repartition(3)
+
+
+def brute_suffix(rows):
     first = {}
+    rank = lambda i: math.inf if i is None else i
     for i, t in rows:
         b = (t or "").encode()
         for s in range(len(b) - 49):
-            first[b[s : s + 50]] = min(i, first.get(b[s : s + 50], i))
-    want = collections.Counter()
+            first[b[s : s + 50]] = min(rank(i), first.get(b[s : s + 50], math.inf))
+    out = []
     for i, t in rows:
         b = (t or "").encode()
         cover = bytearray(len(b))
         for s in range(len(b) - 49):
-            if first[b[s : s + 50]] < i:
+            if first[b[s : s + 50]] < rank(i):
                 cover[s : s + 50] = b"\1" * 50
+        out.append((i, b, cover))
+    return out
+
+
+def test_suffix_dedup(spark, empty):
+    rows = shared_ids()
+    docs = table(spark, rows)
+    want = collections.Counter()
+    for i, b, cover in brute_suffix(rows):
         spans = len(re.findall(b"\1+", bytes(cover)))
         want[i, len(b), sum(cover), spans, hashlib.sha256(bytes(x for x, c in zip(b, cover) if not c)).hexdigest()] += 1
     got = suffix_dedup.suffix_dedup(docs).collect()
     assert collections.Counter(map(tuple, got)) == want
     assert sum(r.n_removed for r in got) > 3000
-    kept = {r.doc_id: r.kept for r in suffix_dedup.suffix_dedup(docs, text=True).collect()}
-    assert kept[4] == "one" and kept[1] == ""
+    kept = suffix_dedup.suffix_dedup(docs, text=True, carry=("lang", "source")).collect()
+    assert {r.kept for r in kept if r.doc_id == 4} == {"one"} and len(kept) == len(rows)
+    assert all(r.source == "s" and r.lang == ("en" if r.doc_id and r.doc_id % 2 else None) for r in kept)
     assert suffix_dedup.suffix_dedup(empty).count() == 0
 
 
-def test_substring_dedup(docs, empty):
-    rows = corpus()
+def test_substring_dedup(spark, empty):
+    rows = shared_ids()
     seen = collections.Counter()
     for _, t in rows:
         w = WORD.findall(t or "")
@@ -85,26 +108,59 @@ def test_substring_dedup(docs, empty):
             if seen[tuple(w[s : s + 35])] > 1:
                 cover[s : s + 35] = [True] * 35
         want[i, len(w), sum(cover), hashlib.sha256(" ".join(x for x, c in zip(w, cover) if not c).encode()).hexdigest()] += 1
-    assert collections.Counter(map(tuple, substring_dedup.substring_dedup(docs).collect())) == want
+    assert collections.Counter(map(tuple, substring_dedup.substring_dedup(table(spark, rows)).collect())) == want
     assert substring_dedup.substring_dedup(empty).count() == 0
 
 
-@pytest.mark.parametrize("size", [2, 5])
-def test_near_duplicates(docs, empty, size):
+def brute_links(rows, size):
+    """For each row its set's size and the least id of its component."""
     lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    sets = {}
-    for i, t in corpus():
+    sets = []
+    for _, t in rows:
         w = WORD.findall((t or "").translate(lower))
-        sets[i] = {tuple(w[k : k + size]) for k in range(len(w) - size + 1)} or ({tuple(w)} if w else set())
-    top = {i: i for i in sets}
-    for _ in sets:
-        for a in sets:
-            for b in sets:
-                if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
-                    top[a] = top[b] = min(top[a], top[b])
-    want = {i: (len(sets[i]), top[i], top[i] == i) for i in sets}
-    got = minhash.near_duplicates(docs, size=size).collect()
-    assert {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in got} == want and len(got) == len(corpus())
+        sets.append({tuple(w[k : k + size]) for k in range(len(w) - size + 1)} or ({tuple(w)} if w else set()))
+    top = list(range(len(rows)))
+
+    def root(x):
+        while top[x] != x:
+            x = top[x]
+        return x
+
+    for a in range(len(rows)):
+        for b in range(a):
+            if rows[a][0] is not None and rows[b][0] is not None and sets[a] and sets[b]:
+                if root(a) != root(b) and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                    top[root(a)] = root(b)
+    least = {}
+    for k, (i, _) in enumerate(rows):
+        if i is not None:
+            least[root(k)] = min(i, least.get(root(k), i))
+    return [(i, len(s), least[root(k)] if i is not None and s else i) for k, ((i, _), s) in enumerate(zip(rows, sets))]
+
+
+def crowd():
+    """Copies of a text, many of them just below the threshold with each other, around two versions of it."""
+    rng = random.Random(3)
+    word = lambda: f"v{rng.randrange(400)}"
+    base = [word() for _ in range(90)]
+    second = base[:60] + [word() for _ in range(30)]
+    rows = []
+    for i in range(160):
+        w = list(base if i % 3 else second)
+        for _ in range(rng.randint(0, 16)):
+            w[rng.randrange(len(w))] = word()
+        rows.append((i * 7 % 160, " ".join(w)))
+    return rows
+
+
+@pytest.mark.parametrize("size,hub_members", [(2, 1024), (5, 1024), (2, 4), (2, 50)])
+def test_near_duplicates(spark, empty, monkeypatch, size, hub_members):
+    """Small blocks send every family through the centres and rare differences."""
+    monkeypatch.setattr(minhash, "HUB_MEMBERS", hub_members)
+    rows = shared_ids() if hub_members > 50 else crowd()
+    want = collections.Counter((i, n, top, top == i) for i, n, top in brute_links(rows, size))
+    got = minhash.near_duplicates(table(spark, rows), size=size).select("doc_id", "n_shingles", "component_id", "kept").collect()
+    assert collections.Counter(map(tuple, got)) == want
     assert minhash.near_duplicates(empty, size=size).count() == 0
 
 
