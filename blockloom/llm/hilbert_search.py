@@ -10,8 +10,10 @@ the least whose recall on that sample is ``TARGET``.  Where vectors have close n
 they have no structure (independent directions) no ordering helps and the reach grows towards all blocks, which is
 then a search of the query set against all rows in blocks.
 
-Equal vectors are one candidate with its ``k + 1`` smallest ids (``row_number`` with Spark's partial group limit), so a
-vector that a third of all rows share costs no more than another and its ties come out exactly.
+Vectors are scaled by a power of two first, which changes no bit of a cosine and keeps tiny and huge components in range.
+Equal vectors then are one candidate with its ``k + 1`` smallest ids (``row_number`` with Spark's partial group limit), so a
+vector that a third of all rows share costs no more than another and its ties come out exactly.  Other vectors of one
+direction are told apart by their exact cosines and ids before a block's best are chosen.
 
 Defined cases: vectors that are null, empty, zero or have a null, NaN or infinite component take no part, as query or
 candidate; vectors of another length than the query's are no candidates for it; with fewer than ``k`` candidates a query
@@ -116,6 +118,7 @@ def _search(k: int):
             part = block.take(pa.array(at))
             v = _matrix(part["v"].combine_chunks(), dim)
             v_unit = v / np.linalg.norm(v, axis=1, keepdims=True)
+            first = np.array([x[0] for x in part["ids"].to_pylist()])
             ask = queries.take(pa.array(mine))
             # k + 1 candidates and the query's own vector suffice
             most = min(k + 2, len(v))
@@ -124,6 +127,12 @@ def _search(k: int):
                 q = _matrix(some["v"].combine_chunks(), dim)
                 s = (q / np.linalg.norm(q, axis=1, keepdims=True)) @ v_unit.T
                 best = np.argpartition(-s, most - 1, axis=1)[:, :most] if most < len(v) else np.tile(np.arange(len(v)), (len(q), 1))
+                if most < len(v):
+                    last = np.take_along_axis(s, best, axis=1).min(axis=1)
+                    for i in np.flatnonzero((s >= last[:, None] - 1e-9).sum(axis=1) > most):
+                        tied = np.flatnonzero(s[i] >= last[i] - 1e-9)
+                        exact = _cosines(q[i], v[tied])
+                        best[i] = tied[np.lexsort((first[tied], -exact))[:most]]
                 rows, cols = pa.array(np.repeat(np.arange(len(q)), best.shape[1])), pa.array(best.reshape(-1))
                 found = [some["vec_id"].take(rows), some["v"].take(rows), part["ids"].take(cols), part["v"].take(cols)]
                 out += pa.Table.from_arrays(found, names=names).cast(schema).to_batches()
@@ -132,6 +141,11 @@ def _search(k: int):
     return run
 
 
+def _cosines(a: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Cosines of one vector with each row, each from its own two vectors alone."""
+    return (a * rows).sum(axis=1) / (np.sqrt((a * a).sum()) * np.sqrt((rows * rows).sum(axis=1)))
+
+
 def _exact(batches):
     """Cosines in double precision, each from its own two vectors alone."""
     schema = pa.schema([("query_id", pa.int64()), ("ids", pa.list_(pa.int64())), ("score", pa.float64())])
@@ -139,7 +153,7 @@ def _exact(batches):
         scores = []
         for q, v in zip(rb.column(1).to_pylist(), rb.column(3).to_pylist()):
             a, b = np.array(q), np.array(v)
-            scores.append(float((a * b).sum() / (np.sqrt((a * a).sum()) * np.sqrt((b * b).sum()))))
+            scores.append(float(_cosines(a, b[None, :])[0]))
         yield pa.RecordBatch.from_arrays([rb.column(0), rb.column(2), pa.array(scores, pa.float64())], schema=schema)
 
 
@@ -160,8 +174,11 @@ def nearest(vectors: DataFrame, *, k: int = 5, every: int = 50, id_col: str = "v
     v = F.col("v")
     rows = vectors.select(vectors[id_col].cast("long").alias("vec_id"), vectors[vector_col].cast("array<double>").alias("v")).where("vec_id is not null and v is not null")
     finite = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
-    norm = F.aggregate(v, F.lit(0.0), lambda a, x: a + x * x)
-    rows = rows.where(finite).where((norm > 0) & (norm < F.lit(float("inf"))))
+    top = F.array_max(F.transform(v, F.abs))
+    rows = rows.where(finite).where(top > 0)
+    # two factors, since one alone may be out of range
+    half = F.pow(F.lit(2.0), F.floor(-F.log2(top) / 2))
+    rows = rows.withColumn("half", half).select("vec_id", F.transform("v", lambda x: x * F.col("half") * F.col("half")).alias("v"))
     rank = F.row_number().over(W.partitionBy("v").orderBy("vec_id"))
     # each task passes on at most k + 1 rows of a vector, and only those are sorted
     few = rows.withColumn("r", rank).where(F.col("r") <= k + 1)

@@ -2,8 +2,8 @@
 
 Each document gets measures from whole texts.  A measure and a stratum (the language) get the strictest cutoff
 whose rate of false rejection, among labelled good documents held out, is bounded: the exact (Clopper-Pearson)
-upper bound of the rate, at a level divided by the number of measures and strata (Bonferroni), must stay within
-``risk``.  The cutoffs of one measure are tested from lax to strict and end at the first that fails (fixed-sequence
+upper bound of the rate, at a level divided by the number of measures and strata (Bonferroni), must stay within the
+measure's share of ``risk`` (an equal one), so that the rejections of all measures together stay within ``risk``.  The cutoffs of one measure are tested from lax to strict and end at the first that fails (fixed-sequence
 testing), so their number costs nothing.  A cutoff whose share of bad documents rejected is not above twice that of
 good ones is not used.
 
@@ -20,6 +20,7 @@ from __future__ import annotations
 import math
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,6 +31,8 @@ WORDS_IN_WINDOW = 5
 MIN_WORDS = 10
 MAX_STRATA = 64
 BINS = 200
+#: The share of good documents that a stratum may lose to all measures together.
+RISK = 0.05
 #: Measure, its width of a bin, and whether it counts only from MIN_WORDS on.  A large value is bad.
 MEASURES = (("symbol_ratio", 0.01), ("dup_line_ratio", 0.005), ("repeat_ratio", 0.005), ("mean_word", 0.1), ("shout_ratio", 0.01))
 _SYMBOL = np.zeros(256, bool)
@@ -70,19 +73,27 @@ def measure(data: np.ndarray, offs: np.ndarray) -> dict[str, np.ndarray]:
     return out
 
 
-def _measured(batches):
-    schema = K.arrow_schema(_COLS)
-    for rb, data, offs in K.slices(batches, "text"):
-        m = measure(data, offs)
-        yield K.table(schema, doc_id=rb.column(0), stratum=rb.column(1), **{k: v.astype(np.int64) for k, v in m.items()})
+def _measured(carried: int):
+    ddl = _COLS + "".join(f",carried_{i} string" for i in range(carried))
 
+    def run(batches):
+        schema = K.arrow_schema(ddl)
+        for rb, data, offs in K.slices(batches, "text"):
+            m = measure(data, offs)
+            kept = {f"carried_{i}": rb.column(3 + i).cast(pa.string()) for i in range(carried)}
+            yield K.table(schema, doc_id=rb.column(0), stratum=rb.column(1), **{k: v.astype(np.int64) for k, v in m.items()}, **kept)
 
-def measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", stratum_col: str | None = "lang") -> DataFrame:
-    """One row of measures for each row of ``docs``."""
+    return run, ddl
+
+
+def measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", stratum_col: str | None = "lang", carry: tuple[str, ...] = ()) -> DataFrame:
+    """One row of measures for each row of ``docs``, with the columns of ``carry`` as strings ``carried_0``, ..."""
     small_batches(docs.sparkSession)
     stratum = F.coalesce(docs[stratum_col].cast("string"), F.lit("?")) if stratum_col else F.lit("?")
-    rows = docs.select(docs[id_col].cast("long").alias("doc_id"), stratum.alias("stratum"), docs[text_col].cast("string").alias("text"))
-    return rows.mapInArrow(_measured, _COLS)
+    more = [docs[c].cast("string").alias(f"carried_{i}") for i, c in enumerate(carry)]
+    rows = docs.select(docs[id_col].cast("long").alias("doc_id"), stratum.alias("stratum"), docs[text_col].cast("string").alias("text"), *more)
+    run, ddl = _measured(len(carry))
+    return rows.mapInArrow(run, ddl)
 
 
 def _values():
@@ -154,7 +165,7 @@ def thresholds(cells: list[tuple[str, str, int, int, int]], risk: float, confide
     out: dict[tuple[str, str], int] = {}
     for key, h in hist.items():
         n, n_bad = h.sum(axis=0)
-        allowed = most_rejected(int(n), risk, (1 - confidence) / tests) if n else -1
+        allowed = most_rejected(int(n), risk / len(MEASURES), (1 - confidence) / tests) if n else -1
         if allowed < 0:
             continue
         above = h[::-1].cumsum(axis=0)[::-1]  # at or above a bin
@@ -170,14 +181,17 @@ def thresholds(cells: list[tuple[str, str, int, int, int]], risk: float, confide
     return out
 
 
-def quality(docs: DataFrame, labels: DataFrame, *, risk: float = 0.01, confidence: float = 0.95, id_col: str = "doc_id", text_col: str = "text", stratum_col: str | None = "lang") -> DataFrame:
+def quality(docs: DataFrame, labels: DataFrame, *, risk: float = RISK, confidence: float = 0.95, id_col: str = "doc_id", text_col: str = "text", stratum_col: str | None = "lang", carry: tuple[str, ...] = ()) -> DataFrame:
     """``docs`` measured and judged: the measures, ``base_failed`` and ``kept``.
 
-    ``risk`` bounds the share of good documents that one measure rejects in a stratum, jointly with
-    probability ``confidence``.  ``labels`` has ``doc_id`` and ``quality`` (1 good, 0 bad, null ignored); of
-    rows that share an id, a label counts as bad if any says so.
+    ``risk`` bounds the share of good documents that the measures together reject in a stratum, jointly for all
+    strata with probability ``confidence``.  ``labels`` has ``doc_id`` and ``quality`` (1 good, 0 bad, null ignored); of
+    rows that share an id, a label counts as bad if any says so.  With ``carry`` the columns named there come along (as
+    strings); rows are then measured twice instead of storing what may be long texts.
     """
-    rows = stored(measures(docs, id_col, text_col, stratum_col), "quality")
+    rows = measures(docs, id_col, text_col, stratum_col)
+    if not carry:
+        rows = stored(rows, "quality")
     marks = labels.select(F.col("doc_id").cast("long").alias("l_id"), F.col("quality").cast("int").alias("q")).where("q in (0, 1)").groupBy("l_id").agg(F.min("q").alias("q"))
     held = rows.where(~base_failed()).select("doc_id", "stratum", *[b.alias(m) for m, b in _bins().items()]).join(marks, F.col("doc_id") == F.col("l_id"))
     long = held.select("stratum", "q", F.inline(F.array(*[F.struct(F.lit(m).alias("name"), F.col(m).alias("bin")) for m, _ in MEASURES])))
@@ -193,7 +207,10 @@ def quality(docs: DataFrame, labels: DataFrame, *, risk: float = 0.01, confidenc
         if table:
             limits = F.create_map(*[F.lit(x) for pair in table.items() for x in pair])
             bad = bad | F.coalesce(b > F.try_element_at(limits, stratum), F.lit(False))
-    return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", base_failed().alias("base_failed"), (~base_failed() & ~bad).alias("kept"))
+    if carry:
+        rows = measures(docs, id_col, text_col, stratum_col, carry)
+    more = [F.col(f"carried_{i}").alias(c) for i, c in enumerate(carry)]
+    return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", base_failed().alias("base_failed"), (~base_failed() & ~bad).alias("kept"), *more)
 
 
 __all__ = ["measure", "measures", "quality", "thresholds", "upper_bound"]

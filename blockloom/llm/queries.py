@@ -15,7 +15,7 @@ def op1_stupid_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scores(_read(spark, sf_dir, "documents"))
 
 
-#: The model of op2; a parameter, never copied here.
+#: The model of op2 and op10; a parameter, never copied here.
 TOKENIZER = "/opt/tokenizers/piece_bpe_32k.model"
 
 
@@ -69,10 +69,11 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from .packing import packing, token_estimate
+    from .packing import packing, with_token_counts
+    from .sentencepieces import model_bytes
 
-    docs = _read(spark, sf_dir, "documents")
-    return packing(docs, token_estimate(docs["text"]))
+    counted = with_token_counts(_read(spark, sf_dir, "documents"), model_bytes(TOKENIZER))
+    return packing(counted, counted["n_tokens"])
 
 
 QUERIES = {f.__name__: f for f in (op1_stupid_backoff, op2_sentencepiece, op3_hilbert_neighbours, op4_minhash_forest, op5_arc_to_warc, op6_suffix_array_dedup, op7_substring_dedup, op8_quality_rules, op9_toxicity, op10_best_fit_packing)}

@@ -36,7 +36,7 @@ def _path(spark: SparkSession, path: str):
 
 
 def temporary(spark: SparkSession, path: str) -> str:
-    """``path``, which goes when the application ends or by ``discard_all``."""
+    """``path``, which goes when the application ends or by ``discard_paths``."""
     p, fs = _path(spark, path)
     fs.deleteOnExit(p)
     _HELD.add(path)
@@ -64,12 +64,17 @@ def discard(*tables: DataFrame) -> None:
             _HELD.discard(path)
 
 
-def discard_all(spark: SparkSession) -> None:
-    """Delete every stored table of this application.  Only where all results that read one are written."""
-    for path in sorted(_HELD):
+def held() -> set[str]:
+    """Paths of the stored tables that still exist."""
+    return set(_HELD)
+
+
+def discard_paths(spark: SparkSession, paths: set[str]) -> None:
+    """Delete what lies at ``paths``.  Only where all results that read it are written."""
+    for path in sorted(paths):
         p, fs = _path(spark, path)
         fs.delete(p, True)
-    _HELD.clear()
+        _HELD.discard(path)
 
 
 def small_batches(spark: SparkSession) -> None:

@@ -4,8 +4,11 @@ A word is a run of letters and digits (ASCII) or non-ASCII bytes, in lower case.
 and word beginnings, is learned from labelled training documents; threats, targets, negations and markers of
 reported speech are fixed word lists for four languages.  Five transducers map the classes of a clause's
 words to events and are composed: INSULT and THREAT produce the core, TARGET attaches a person, NEGATION and
-REPORTED rewrite a core in their scope.  Each accepted path has a weight learned by logistic regression on the
-training sample, and the score of a document is the logistic function of the weights of its matched clauses.
+REPORTED rewrite a core in their scope.  The three scopes are composed to one product transducer that reads a clause from
+the left; TARGET also reads it from the right.  A core's weight, what a target adds and what negation and reported speech
+take off are learned by logistic regression on the training sample, none of them below zero, so a negated or
+reported insult never scores above a plain one; the score of a document is the logistic function of the weights of its
+matched clauses.
 
 A lexicon entry must be frequent and pure among toxic training documents and must appear in some different
 contexts (two words to either side).  Equal texts count once, and so does one context however many texts hold it:
@@ -25,6 +28,7 @@ from __future__ import annotations
 import math
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -49,7 +53,7 @@ NEGATION = "not never no isn't aren't don't nicht nie kein keine ne jamais aucun
 REPORTED = "said says quoted reported claimed sagte sagt zitierte behauptete dit disait cita prétend dijo dice citó afirma".split()
 
 OTHER, C_INSULT, C_STEM, C_THREAT, C_TARGET, C_NEG, C_REP = range(7)
-#: Events of the composed transducer; each has a weight.
+#: Events of the composed transducer.
 EVENTS = tuple(core + how for core in ("insult", "stem", "threat") for how in ("", "_target", "_negated", "_reported"))
 
 _LETTER = np.zeros(256, bool)
@@ -92,28 +96,48 @@ class Fst:
             s = self.next[s][c]
         return res
 
+    def compose(self, other: "Fst") -> "Fst":
+        """The product: both read one tape, the output is the pair of outputs (the other's in the higher bits)."""
+        n, shift = len(other.next), 1 + max(map(max, self.out)).bit_length()
+
+        def step(s: int, c: int) -> tuple[int, int]:
+            a, b = divmod(s, n)
+            return self.next[a][c] * n + other.next[b][c], self.out[a][c] | other.out[b][c] << (shift - 1)
+
+        return Fst(len(self.next) * n, step)
+
 
 def _scope(trigger: int) -> Fst:
     """Marks (1) the words within SCOPE words after a trigger; the state counts down."""
     return Fst(SCOPE + 1, lambda s, c: (SCOPE if c == trigger else max(0, s - 1), int(s > 0)))
 
 
-_NEG, _REP, _TARGET = _scope(C_NEG), _scope(C_REP), _scope(C_TARGET)
+_TARGET = _scope(C_TARGET)
+#: Outputs have bit 0 for a target on the left, bit 1 for a negation, bit 2 for reported speech.
+_CLAUSES = _TARGET.compose(_scope(C_NEG)).compose(_scope(C_REP))
 
 
 def clause_events(tape: list[int]) -> list[int]:
-    """Events of one clause: the composition of the five transducers.  A reported core is reported even when
-    negated; a target may stand on either side of the core."""
-    neg, rep, left = _NEG.run(tape), _REP.run(tape), _TARGET.run(tape)
+    """Events of one clause by the composed transducer.  A reported core is reported even when negated; a target may
+    stand on either side of the core."""
+    marks = _CLAUSES.run(tape)
     right = _TARGET.run(tape[::-1])[::-1]
     out = []
-    for i, c in enumerate(tape):
+    for c, mark, after in zip(tape, marks, right):
         if c in (C_INSULT, C_STEM, C_THREAT):
-            kind = 3 if rep[i] else 2 if neg[i] else 1 if left[i] or right[i] else 0
+            kind = 3 if mark & 4 else 2 if mark & 2 else 1 if mark & 1 or after else 0
             out.append(4 * (c - C_INSULT) + kind)
     return out
 
 
+def weighed(counts: np.ndarray) -> np.ndarray:
+    """What the weights apply to, from counts of events: for each core all its events, and the targeted ones; the negated
+    and the reported ones count against it."""
+    c = counts.reshape(len(counts), len(EVENTS) // 4, 4)
+    parts = np.stack([np.log1p(c.sum(axis=2)), np.log1p(c[:, :, 1]), -np.log1p(c[:, :, 2]), -np.log1p(c[:, :, 3])], axis=2)
+    return parts.reshape(len(counts), len(EVENTS))
+
+
 def letters(data: np.ndarray, offs: np.ndarray):
     """Lower-case bytes, word starts and ends."""
     low = lower(data)
@@ -163,7 +187,7 @@ class Grammar:
         return counts
 
     def score(self, counts: np.ndarray) -> np.ndarray:
-        z = np.log1p(counts) @ np.array(self.weights) + self.bias
+        z = weighed(counts) @ np.array(self.weights) + self.bias
         return 1 / (1 + np.exp(-z))
 
 
@@ -244,7 +268,7 @@ def _events(g: Grammar, texts: list[bytes]) -> np.ndarray:
 
 
 def fit(texts: list[bytes], toxic: np.ndarray, rounds: int = 400) -> Grammar:
-    """The lexicon, then weights of events by logistic regression with a small ridge.
+    """The lexicon, then weights by logistic regression with a small ridge around 1, the weight of what no example shows.
 
     Weights are learned on events that a lexicon from the other folds finds, so chance matches count as what
     they are; the final lexicon comes from all folds."""
@@ -258,7 +282,7 @@ def fit(texts: list[bytes], toxic: np.ndarray, rounds: int = 400) -> Grammar:
         if toxic[rest].any():
             counts[own] = _events(Grammar(*lexicon([texts[i] for i in rest], toxic[rest]), weights, 0.0), [texts[i] for i in own])
     g = Grammar(*(lexicon(texts, toxic) if toxic.any() else (none, none)), weights, 0.0)
-    x = np.log1p(counts)
+    x = weighed(counts)
     w, b = np.ones(len(EVENTS)), math.log((toxic.mean() if len(toxic) else 0) + 1e-3)
     for _ in range(rounds if len(toxic) else 0):
         p = 1 / (1 + np.exp(-(x @ w + b)))
@@ -290,19 +314,21 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     return fit([r[2].encode() for r in sample], np.array([r[1] for r in sample], np.int64))
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", key_col: str | None = None) -> DataFrame:
-    """``doc_id, held_out, score, predicted`` and the number of matched clauses for every row of ``docs``, with its
-    ``key_col`` if one is named."""
+def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
+    """``doc_id, held_out, score, predicted`` and the number of matched clauses for every row of ``docs``, with the columns
+    of ``carry`` (as strings)."""
     small_batches(docs.sparkSession)
     g = train(docs, labels, id_col, text_col)
-    keys = [key_col] if key_col else []
-    ddl = "doc_id long,held_out boolean,score double,n_matched long" + "".join(f",{k} long" for k in keys)
+    kept = [f"carried_{i}" for i in range(len(carry))]
+    ddl = "doc_id long,held_out boolean,score double,n_matched long" + "".join(f",{k} string" for k in kept)
 
     def scored(batches):
         schema = K.arrow_schema(ddl)
         for rb, data, offs in K.slices(batches, "text"):
             c = g.events(data, offs)
-            yield K.table(schema, doc_id=rb.column(0), held_out=rb.column(1), score=g.score(c), n_matched=c.sum(axis=1), **{k: rb.column(rb.schema.get_field_index(k)) for k in keys})
+            yield K.table(schema, doc_id=rb.column(0), held_out=rb.column(1), score=g.score(c), n_matched=c.sum(axis=1), **{k: rb.column(rb.schema.get_field_index(k)).cast(pa.string()) for k in kept})
 
-    rows = docs.select(docs[id_col].cast("long").alias("doc_id"), held_out(docs[id_col].cast("long")).alias("held_out"), docs[text_col].cast("string").alias("text"), *keys)
-    return rows.mapInArrow(scored, ddl).select("doc_id", "held_out", "score", F.when(F.col("score") >= PREDICT_AT, 1).otherwise(0).alias("predicted"), "n_matched", *keys)
+    more = [docs[c].cast("string").alias(k) for c, k in zip(carry, kept)]
+    rows = docs.select(docs[id_col].cast("long").alias("doc_id"), held_out(docs[id_col].cast("long")).alias("held_out"), docs[text_col].cast("string").alias("text"), *more)
+    named = [F.col(k).alias(c) for c, k in zip(carry, kept)]
+    return rows.mapInArrow(scored, ddl).select("doc_id", "held_out", "score", F.when(F.col("score") >= PREDICT_AT, 1).otherwise(0).alias("predicted"), "n_matched", *named)

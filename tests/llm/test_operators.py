@@ -261,6 +261,35 @@ def test_archives(spark):
     assert archives.convert(df.where("1 = 0")).count() == 0
 
 
+def legacy(version, rows):
+    """A hand-made archive: (url, date, block) records."""
+    about = f"{version} 0 maker\n{archives.ARC_FIELDS[version]}\n".encode()
+    more = " 200 - - 0 x.arc" if version == 2 else ""
+    out = f"filedesc://x.arc 0.0.0.0 20010101000000 text/plain{more} {len(about)}\n".encode() + about + b"\n"
+    for url, date, block in rows:
+        out += f"{url} 1.2.3.4 {date} text/html{more} {len(block)}\n".encode() + block + b"\n"
+    return out
+
+
+@pytest.mark.parametrize("version", [1, 2])
+def test_legacy_archives_convert(spark, tmp_path, version):
+    """Line feeds alone in heads, payloads in Latin-1 or binary, dates of 12 digits, records without a head."""
+    latin, raw = "Übergröße".encode("latin-1") * 200, bytes(range(256)) * 8
+    rows = [("http://a", "200102030405", b"HTTP/1.0 200 OK\nContent-Type: text/html\n\n" + latin), ("http://b", "20010203040506", b"HTTP/1.0 200 OK\r\nA: b\r\n\r\n" + raw), ("dns:c", "20010203040506", b"no head")]
+    (tmp_path / "arc").mkdir()
+    (tmp_path / "arc" / "a.txt").write_bytes(legacy(version, rows))
+    files = archives.arc_files(spark, f"file://{tmp_path}/arc")
+    archives.write_warc(files, archives.revisits(archives.places(files)), f"file://{tmp_path}/warc")
+    got = {r.url: r for r in archives.read_warc(spark, f"file://{tmp_path}/warc").collect()}
+    assert [bytes(got[u].payload) for u, _, _ in rows] == [latin, raw, b"no head"]
+    assert got["http://a"].date == "2001-02-03T04:05:00Z" and len({r.record_id for r in got.values()}) == 3
+    assert {r.url: bytes(r.payload) for r in archives.read_arc(spark, f"file://{tmp_path}/arc").collect()} == {u: bytes(got[u].payload) for u, _, _ in rows}
+    import gzip
+
+    for f in (tmp_path / "warc").glob("part-*"):
+        assert gzip.decompress(f.read_bytes()).startswith(b"WARC/1.1\r\nWARC-Type: warcinfo")
+
+
 @pytest.mark.parametrize("data", [b"x", b"filedesc://a 0 0 t 5\n9 0 x\n", b"filedesc://a 0 0 t 7\n1 0 x\ny\n\nu 0 0 t 99\nshort"])
 def test_malformed_arc(data):
     with pytest.raises(ValueError):
@@ -286,6 +315,41 @@ def test_quality(spark, docs, empty):
     assert quality.quality(empty, lab).count() == 0
 
 
+def test_quality_counts_against_brute_force(spark):
+    rows = shared_ids() + [(80, "a b c d e " * 9), (81, "x\n\nx\ny # *\n x"), (82, "| < > $ % & #\n" * 3), (83, "é" * 70_000)]
+    want = collections.Counter()
+    for i, t in rows:
+        w = WORD.findall(t or "")
+        lines = [x for x in (t or "").split("\n") if WORD.search(x)]
+        wins = collections.Counter(tuple(w[k : k + 5]) for k in range(len(w) - 4))
+        cover = {k + d for k in range(len(w) - 4) if wins[tuple(w[k : k + 5])] > 1 for d in range(5)}
+        want[i, len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", t or "")), len(lines) - len(set(lines)), len(cover), len(w) < 10 or 100 * len(cover) > 20 * len(w)] += 1
+    got = quality.quality(table(spark, rows), spark.createDataFrame([], "doc_id long, quality int")).drop("kept").collect()
+    assert collections.Counter(map(tuple, got)) == want
+
+
+def test_toxicity_learns_and_negation_lowers(spark):
+    """Held-out quality on planted insults; a negated or reported insult scores below the plain one."""
+    rng = random.Random(6)
+    text = lambda n: " ".join(f"w{rng.randrange(400)}" for _ in range(n))
+    rows, labels = [], []
+    for i in range(1500):
+        bad = i % 5 == 0
+        rows.append((i, text(20) + (f". {text(2)} blockhead {text(2)}. " if bad else ". ") + text(20)))
+        labels.append((i, int(bad)))
+    rows += [(3000, "a b c blockhead d e"), (3001, "a b not blockhead d e"), (3002, "a b said blockhead d e"), (3003, None), (3004, ""), (3005, "w1 " * 60_000 + "blockhead")]
+    rows += [(3000, "a b c blockhead d e"), (None, "a blockhead")]
+    docs = table(spark, rows)
+    got = toxicity.toxicity(docs, spark.createDataFrame(labels + [(0, 0)], "doc_id long, toxic int")).collect()
+    score = {r.doc_id: r.score for r in got}
+    bad = [score[i] for i in range(0, 1500, 5) if any(r.doc_id == i and r.held_out for r in got)]
+    good = [score[i] for i in range(1500) if i % 5 and any(r.doc_id == i and r.held_out for r in got)]
+    auc = sum((b > g) + 0.5 * (b == g) for b in bad for g in good) / (len(bad) * len(good))
+    assert auc > 0.99 and min(bad) >= 0.7 > max(good)
+    assert score[3001] < score[3000] and score[3002] < score[3000] and score[3005] > 0.7 and score[None] > 0.7
+    assert score[3003] == score[3004] == min(score.values()) and len(got) == len(rows)
+
+
 def test_toxicity_without_labels_and_empty(spark, docs, empty):
     lab = spark.createDataFrame([(None, 1), (4, None)], "doc_id long, toxic int")
     rows = toxicity.toxicity(docs, lab).collect()
@@ -296,6 +360,43 @@ def test_toxicity_without_labels_and_empty(spark, docs, empty):
     assert toxicity.toxicity(empty, lab).count() == 0
 
 
+def brute_pack(lengths, caps, fixed):
+    """Best fit by looking at every open bin."""
+    bins, left = [], sum(lengths)
+    for n in lengths:
+        left -= n
+        fits = [(room, k) for k, (room, _) in enumerate(bins) if room >= n]
+        if fits:
+            k = min(fits)[1]
+        else:
+            bins.append([min((c for c in caps if c >= n), key=lambda c: ((fixed + c) / max(1, min(c, n + left)), c)), 0])
+            k = len(bins) - 1
+        bins[k][0] -= n
+        bins[k][1] += n
+    return [min(c for c in caps if c >= used) for _, used in bins]
+
+
+def test_packing_equals_brute_force():
+    rng = random.Random(4)
+    for _ in range(60):
+        lengths = sorted((rng.randint(1, 64) for _ in range(rng.randint(0, 80))), reverse=True)
+        where, offset, caps = packing.pack(lengths, (8, 16, 32, 64), 3)
+        assert sorted(caps) == sorted(brute_pack(lengths, (8, 16, 32, 64), 3))
+
+
+def test_packing_of_tokens(spark):
+    """Rows without an id are dealt to many shards; counts are the library's."""
+    model = sentencepieces.model_bytes("/opt/tokenizers/piece_bpe_32k.model")
+    rows = [(None, "some words")] * 300 + shared_ids()
+    docs = table(spark, rows)
+    counted = packing.with_token_counts(docs, model)
+    want = collections.Counter((r.doc_id, r.n_tokens) for r in sentencepieces.encode(docs, model).collect())
+    assert collections.Counter(map(tuple, counted.collect())) == want
+    got = packing.packing(counted, counted["n_tokens"], shard_tokens=500).collect()
+    assert sum(r.n_tokens for r in got) == sum(n * k for (_, n), k in want.items())
+    assert len({r.bin_id.split("-")[0] for r in got if r.bin_id and r.doc_id is None}) > 5
+
+
 def test_packing(docs, empty):
     rows = packing.packing(docs, F.when(F.col("doc_id") == 5, -3).when(F.col("doc_id") == 6, 10_000).otherwise(F.col("n_chars"))).collect()
     bins, total = collections.defaultdict(list), collections.Counter()
