@@ -49,7 +49,7 @@ PERMS = 64
 TREES = 16
 DEPTH = 3
 #: Labels of a region's members: DEPTH leading ones of 16 bits, then LABELS of 8 bits for deeper levels and agreement.
-LABELS = 32
+LABELS = 56
 #: Pairs that are compared at once.
 AT_ONCE = 4 << 20
 #: Bytes of full sets in one block of a family, on average.
@@ -61,6 +61,8 @@ HUB_BYTES = 32 << 20
 BLOCK_PAIRS = 1 << 16
 #: Bytes of full sets that one task holds, on average, if every set were needed.
 BUCKET_BYTES = 8 << 20
+#: Rows of two numbers that are broadcast at most (4 MB).
+BROADCAST_ROWS = 1 << 18
 #: Bytes of a shingle's hash in a full set.
 WIDTH = 6
 _A = K.mix(np.arange(PERMS, dtype=K.U64) + K.U64(0xA11CE)) | K.U64(1)
@@ -125,13 +127,22 @@ def _sign(size: int):
 
 
 def _sets(size: int):
+    """Full sets of rows whose text has the node that is wanted; once in a task."""
+
     def run(batches):
-        schema = K.arrow_schema("node long,shingles binary")
+        schema, seen = K.arrow_schema("node long,shingles binary"), set()
         for rb, data, offs in K.slices(batches, "text"):
             h, _, n = shingles(data, offs, size)
             ends = np.cumsum(n)
             short = h >> K.U64(64 - 8 * WIDTH)
-            yield K.table(schema, node=_nodes(h, n), shingles=[K.planes(np.unique(short[b - c : b]), WIDTH) for b, c in zip(ends, n)])
+            out = []
+            for node, want, e, c in zip(_nodes(h, n).tolist(), rb.column(rb.schema.get_field_index("want")).to_pylist(), ends, n):
+                if node == want and node not in seen:
+                    seen.add(node)
+                    out.append((node, K.planes(np.unique(short[e - c : e]), WIDTH)))
+            if out:
+                nodes, sets = zip(*out)
+                yield K.table(schema, node=nodes, shingles=sets)
 
     return run
 
@@ -343,11 +354,11 @@ def _within(rules: Rules):
     """Links between components in families of one block each, every member against every other."""
 
     def run(tab: pa.Table) -> pa.Table:
-        of: dict[int, list] = {}
+        of: dict[int, dict] = {}
         for r in tab.select(["family", "node", "component", "shingles"]).to_pylist():
-            of.setdefault(r["family"], []).append((r["node"], r["component"], K.unplanes(r["shingles"], WIDTH)))
+            of.setdefault(r["family"], {})[r["node"]] = (r["node"], r["component"], K.unplanes(r["shingles"], WIDTH))
         out = []
-        for rows in of.values():
+        for rows in (list(x.values()) for x in of.values()):
             n = np.array([len(x) for _, _, x in rows])
             comp = np.array([c for _, c, _ in rows])
             _, element, count = np.unique(np.concatenate([x for _, _, x in rows]), return_inverse=True, return_counts=True)
@@ -407,9 +418,12 @@ def _apart(rules: Rules, elements: bool):
 
     def run(members: pa.Table, heads: pa.Table) -> pa.Table:
         cores = {r["block"]: K.unplanes(r["core"], WIDTH) for r in heads.select(["block", "core"]).to_pylist()}
-        rows = []
+        rows, seen = [], set()
         for rb in members.select(["block", "family", "node", "shingles"]).to_batches(1000):
             for r in rb.to_pylist():
+                if (r["block"], r["node"]) in seen:
+                    continue  # a set may come twice
+                seen.add((r["block"], r["node"]))
                 x, c = K.unplanes(r["shingles"], WIDTH), cores[r["block"]]
                 d = np.setxor1d(x, c, assume_unique=True)
                 if elements:
@@ -459,9 +473,11 @@ def near_duplicates(docs: DataFrame, *, size: int = 5, percent: int = 80, id_col
         new = nodes.distinct()
         for k in known:
             new = new.join(k.select("node"), "node", "left_anti")
-        new = stored(new.join(reps.select("node", "rep"), "node"), "minhash-wanted")
-        found = rows.join(new.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi").mapInArrow(_sets(size), "node long,shingles binary")
-        known.append(stored(found.join(new.select("node"), "node", "left_semi").dropDuplicates(["node"]), "minhash-shingles"))
+        new = stored(new.join(reps.select(F.col("node").alias("want"), F.col("rep").alias("doc_id")), F.col("node") == F.col("want")).select("want", "doc_id"), "minhash-wanted")
+        # a few of the rows are wanted: a small table of them goes to the texts, a large one meets them in an exchange
+        few = F.broadcast(new) if new.count() <= BROADCAST_ROWS else new
+        known.append(stored(rows.join(few, "doc_id").select("text", "want").mapInArrow(_sets(size), "node long,shingles binary"), "minhash-shingles"))
+        release(spark)
         discard(new)
         out = known[0]
         for k in known[1:]:
@@ -489,6 +505,7 @@ def near_duplicates(docs: DataFrame, *, size: int = 5, percent: int = 80, id_col
         got = placed.groupBy("task").cogroup(needed.join(sets, "node").select("of", "node", "shingles").groupBy("of")).applyInArrow(_confirm(rules), "a long,b long")
         out = stored(got, "minhash-links")
         discard(place, placed)
+        release(spark)
         return out
 
     near = stored(regions(None, _neighbours(kind, rules), _NEAR).groupBy("child", "parent").agg(F.max("agree").alias("agree"), F.sum("votes").alias("votes")), "minhash-candidates")

@@ -16,7 +16,7 @@ words of one text copied many times appear always in the same context and do not
 outweigh the other texts that hold a word.
 
 Training takes a sample with a fixed bound (``SAMPLE`` labelled documents by hash order, each of at most
-``SAMPLE_BYTES`` bytes), so the driver holds no more at any corpus size; scoring reads every whole text.
+``SAMPLE_BYTES`` bytes), so one task holds no more at any corpus size; scoring reads every whole text.
 
 Defined cases: a null or empty text has no clause and gets the base score; a corpus without toxic labels gets
 an empty lexicon and the base score everywhere; labels of one id that differ count as toxic; repeated rows give
@@ -303,15 +303,31 @@ def held_out(id_col):
     return F.coalesce(F.crc32(id_col.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
+_GRAMMAR = "words binary,stems binary,weights array<double>,bias double"
+
+
+def _fitted(batches):
+    """The grammar of a labelled sample (id, label, text), as one row."""
+    rows = [r for rb in batches for r in zip(*(c.to_pylist() for c in rb.columns))]
+    rows = sorted((i, t or "", y) for i, y, t in rows)
+    g = fit([t.encode() for _, t, _ in rows], np.array([y for _, _, y in rows], np.int64))
+    schema = pa.schema([("words", pa.binary()), ("stems", pa.binary()), ("weights", pa.list_(pa.float64())), ("bias", pa.float64())])
+    yield pa.RecordBatch.from_pylist([{"words": g.words.tobytes(), "stems": g.stems.tobytes(), "weights": g.weights, "bias": g.bias}], schema)
+
+
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Grammar:
     marks = labels.select(F.col("doc_id").cast("long").alias("l_id"), F.col("toxic").cast("int").alias("toxic")).where("toxic in (0, 1)")
     marks = marks.where(~held_out(F.col("l_id"))).groupBy("l_id").agg(F.max("toxic").alias("toxic"))
     picked = marks.orderBy(F.xxhash64("l_id"), "l_id").limit(SAMPLE)  # SAMPLE rows at most, so the broadcast is bounded
     text = docs[text_col].cast("string")
     rows = docs.select(docs[id_col].cast("long").alias("d_id"), text.alias("text")).where(F.octet_length("text") <= SAMPLE_BYTES)
-    sample = rows.join(F.broadcast(picked), F.col("d_id") == F.col("l_id")).select("l_id", "toxic", "text").limit(SAMPLE).collect()
-    sample.sort(key=lambda r: (r[0], r[2]))
-    return fit([r[2].encode() for r in sample], np.array([r[1] for r in sample], np.int64))
+    sample = rows.join(F.broadcast(picked), F.col("d_id") == F.col("l_id")).select("l_id", "toxic", "text").limit(SAMPLE)
+    # one task holds the sample, whose size is bounded; the driver gets the grammar alone
+    found = sample.coalesce(1).mapInArrow(_fitted, _GRAMMAR).collect()
+    if not found:
+        return fit([], np.zeros(0, np.int64))
+    r = found[0]
+    return Grammar(np.frombuffer(r["words"], K.U64), np.frombuffer(r["stems"], K.U64), list(r["weights"]), r["bias"])
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
