@@ -26,7 +26,7 @@ from blockloom.llm.minhash import near_duplicates
 from blockloom.llm.packing import packing, with_token_counts
 from blockloom.llm.quality import quality
 from blockloom.llm.sentencepieces import model_bytes
-from blockloom.llm.storage import discard_paths, held, shared_dir, stored, temporary
+from blockloom.llm.storage import discard_paths, held, release, shared_dir, stored, temporary
 from blockloom.llm.suffix_dedup import suffix_dedup
 from blockloom.llm.toxicity import toxicity
 
@@ -39,6 +39,7 @@ def _stage(f):
     @functools.wraps(f)
     def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         discard_paths(spark, _LEFT)
+        release(spark)
         before = held()
         out = f(spark, docs.select(*_COLUMNS), sf_dir)
         _LEFT.clear()
