@@ -532,7 +532,9 @@ def near_duplicates(docs: DataFrame, *, size: int = 5, percent: int = 80, id_col
         release(spark)
         place = families.where("k > 1")
         if not place.isEmpty():
-            lead = place.where("salt = 0").join(sets, "node").select(F.pmod(F.xxhash64("family"), F.lit(n_tasks)).alias("task"), "family", "shingles")
+            # a block that has members: with few of them a salt may have none
+            some = place.groupBy("family").agg(F.min("salt").alias("salt"))
+            lead = place.join(some, ["family", "salt"], "left_semi").join(sets, "node").select(F.pmod(F.xxhash64("family"), F.lit(n_tasks)).alias("task"), "family", "shingles")
             centres = stored(lead.groupBy("task").applyInArrow(_centres, "family long,core binary"), "minhash-centres")
 
             def apart(place: DataFrame, elements: bool) -> DataFrame:
