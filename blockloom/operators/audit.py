@@ -12,14 +12,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..schema import ANCHOR_KEYS
+from ..schema import ANCHOR_KEYS, ISSUES
 from .project import anchor_text
 
 # Words of column names by role and by kind of table, in order of precedence.
 ROLES = {
     "register": {"address": ("address", "addr", "地址"), "name": ("register", "reg", "寄存器", "name", "名称"), "description": ("description", "desc", "说明", "描述"), "reset": ("reset", "default", "复位", "默认")},
     "parameter": {"parameter": ("parameter", "参数", "characteristic", "特性"), "unit": ("unit", "单位"), "limit": ("min", "typ", "max", "最小", "典型", "最大")},
-    "quote": {"item": ("item", "part", "物料", "项目", "名称"), "qty": ("qty", "quantity", "数量"), "unit_price": ("unitprice", "price", "单价"), "amount": ("amount", "total", "金额", "小计")},
+    "quote": {"item": ("item", "part", "物料", "项目", "名称"), "quantity": ("qty", "quantity", "数量"), "unit_price": ("unitprice", "price", "单价"), "amount": ("amount", "total", "金额", "小计")},
 }
 TRIGGERS = {"parameter": ("parameter", "electrical", "参数", "特性"), "quote": ("quote", "price", "报价", "单价", "金额")}
 ADDRESS = r"(?i)^(0x[0-9a-f]+|[0-9a-f]{2,}h|[0-9]+)\z"
@@ -61,7 +61,15 @@ def row_width(row: Column) -> Column:
 def _findings(rows: DataFrame, category: str, found_by: str, cases: list[tuple[str, str, Column]], prefix: str) -> DataFrame:
     made = F.array(*[F.when(cond, F.struct(F.lit(code).alias("code"), F.lit(severity).alias("severity"))) for code, severity, cond in cases])
     hit = rows.select("doc_id", "ord", F.coalesce("id", F.lit("missing")).alias("source_block_id"), anchor_text(F.col("source_anchor")).alias("source_anchor"), F.explode(F.filter(made, lambda x: x.isNotNull())).alias("f"))
-    return hit.select("doc_id", F.concat_ws("_", F.lit(prefix), "source_block_id", "f.code").alias("id"), "f.severity", F.lit(category).alias("category"), "source_block_id", "source_anchor", "f.code", F.lit(found_by).alias("found_by"))
+    found = hit.select("doc_id", F.concat_ws("_", F.lit(prefix), "source_block_id", "f.code").alias("id"), "f.severity", F.lit(category).alias("category"), "source_block_id", "source_anchor", "f.code", F.lit(found_by).alias("found_by"))
+    return as_issues(found)
+
+
+def as_issues(found: DataFrame) -> DataFrame:
+    """Findings as open entries of the ledger: all columns of ISSUES, then the code."""
+    blank = {"status": "open", "accepted_by": "", "accepted_reason": "", "issue": "", "required_action": "", "created_at": ""}
+    rows = found.withColumns({k: F.lit(v) for k, v in blank.items() if k not in found.columns})
+    return rows.select(*[x.split()[0] for x in ISSUES.split(", ")], "code")
 
 
 def classified_tables(blocks: DataFrame) -> DataFrame:
@@ -97,7 +105,7 @@ def audit_assets(blocks: DataFrame, files: DataFrame) -> DataFrame:
     blank = lambda c: T.strip(F.coalesce(c, F.lit(""))) == ""
     guess = F.exists(F.coalesce("figure.estimated_values", F.array().cast("array<struct<label:string,value:string,basis:string>>")), lambda v: ~v["basis"].eqNullSafe(BASIS))
     cases = [("asset_missing", "major", F.col("_there").isNull()), ("caption_missing", "minor", blank("figure.caption") & ~noise), ("description_missing", "major", blank("figure.description") & ~noise), ("estimated_value_basis_missing", "major", guess & ~noise)]
-    return _findings(rows, "figure", "audit_assets", cases, "asset")
+    return _findings(rows, "figure", "audit_assets", cases, "figure")
 
 
 def anchor_values_complete(a: Column) -> Column:
@@ -129,7 +137,7 @@ def audit_provenance(blocks: DataFrame, comments: DataFrame | None = None, error
         out = out.unionByName(found)
     if errors is not None:
         rows = errors.select("doc_id", F.concat(F.lit("provenance_comments_"), T.issue_slug(F.col("error")), F.lit("_parse_error")).alias("id"))
-        out = out.unionByName(rows.select("doc_id", "id", F.lit("major").alias("severity"), F.lit("provenance").alias("category"), F.lit("").alias("source_block_id"), F.lit("").alias("source_anchor"), F.lit("parse_error").alias("code"), F.lit("audit_provenance").alias("found_by")))
+        out = out.unionByName(as_issues(rows.select("doc_id", "id", F.lit("major").alias("severity"), F.lit("provenance").alias("category"), F.lit("").alias("source_block_id"), F.lit("").alias("source_anchor"), F.lit("parse_error").alias("code"), F.lit("audit_provenance").alias("found_by"))))
     return out
 
 

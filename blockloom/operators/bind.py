@@ -50,7 +50,10 @@ def references(blocks: DataFrame) -> DataFrame:
     Of figures with one number the last counts; captions cite nothing; the number must end at a boundary."""
     figs = blocks.where("type = 'figure' and figure.figure_no <> ''").groupBy("doc_id", F.col("figure.figure_no").alias("no")).agg(F.max_by("id", "ord").alias("to"))
     paras = blocks.where("type = 'para' and (content.is_caption_for is null or content.is_caption_for = '')")
-    cited = paras.select("doc_id", F.col("id").alias("from"), F.explode(F.array_distinct(F.regexp_extract_all("content.text", F.lit(CITATION), F.lit(0)))).alias("no"))
+    found = F.regexp_extract_all("content.text", F.lit(CITATION), F.lit(0))
+    # one keyword ends another: a citation by the longer one is a citation by the shorter one, too
+    inner = F.transform(F.filter(found, lambda x: x.startswith("图表")), lambda x: F.substring(x, 2, 1 << 20))
+    cited = paras.select("doc_id", F.col("id").alias("from"), F.explode(F.array_distinct(F.concat(found, inner))).alias("no"))
     return cited.join(figs, ["doc_id", "no"]).select("doc_id", "from", "to", F.lit("references").alias("type")).distinct()
 
 

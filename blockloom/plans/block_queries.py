@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..operators import audit, bind, compile, evidence, parse, project, quality, render
+from ..operators import audit, bind, compile, evidence, ledger, parse, project, quality, render
+from ..schema import ISSUES
 from . import vehicles as V
 
 QUERIES, ORACLE_SQL = {}, {}
@@ -288,13 +289,26 @@ def formula_audit(spark, sf):
 
 
 @query(f"""WITH {FIGS}, x AS (SELECT *, 'asset_missing' AS code, 'major' AS s FROM f WHERE k = 0 AND p_name NOT LIKE 'red%' UNION ALL SELECT *, 'caption_missing', 'minor' FROM f WHERE k = 0 UNION ALL SELECT *, 'description_missing', 'major' FROM f WHERE k = 0)
-SELECT d AS doc_id, 'asset_' || id || '_' || code AS id, s AS severity FROM x""")
+SELECT d AS doc_id, 'figure_' || id || '_' || code AS id, s AS severity FROM x""")
 def asset_audit(spark, sf):
     b = figure_blocks(spark, sf)
     files = b.where("figure.asset_file like '%/red%'").select("doc_id", F.col("figure.asset_file").alias("path"))
     return audit.audit_assets(b, files).select("doc_id", "id", "severity")
 
 
+@query(f"""WITH {FIGS}, x AS (SELECT *, 'asset_missing' AS code, 'major' AS s FROM f WHERE k = 0 AND p_name NOT LIKE 'red%' UNION ALL SELECT *, 'caption_missing', 'minor' FROM f WHERE k = 0 UNION ALL SELECT *, 'description_missing', 'major' FROM f WHERE k = 0)
+SELECT d AS doc_id, 'figure_' || id || '_' || code AS id, s AS severity, CASE WHEN p_name LIKE 'red%' THEN 'accepted' ELSE 'open' END AS status FROM x""")
+def audit_to_ledger(spark, sf):
+    """Findings enter an empty ledger, some are accepted, the audit runs again and the ledger keeps what was accepted."""
+    b = figure_blocks(spark, sf)
+    files = b.where("figure.asset_file like '%/red%'").select("doc_id", F.col("figure.asset_file").alias("path"))
+    found = audit.audit_assets(b, files)
+    first = ledger.merge(spark.createDataFrame([], ISSUES), found)
+    red = b.where("figure.asset_file like '%/red%'").select("doc_id", F.col("id").alias("source_block_id"), F.lit("accepted").alias("_status"))
+    reviewed = first.join(red, ["doc_id", "source_block_id"], "left").withColumn("status", F.coalesce("_status", "status")).select(*first.columns)
+    return ledger.unresolved(ledger.merge(reviewed, found)).select("doc_id", "id", "severity", "status")
+
+
 @query(f"""WITH {FIGS} SELECT d AS doc_id, 'provenance_' || id || '_anchor_incomplete' AS id FROM f WHERE k = 0 AND p_size % 2 = 0""")
 def anchor_audit(spark, sf):
     b = figure_blocks(spark, sf)

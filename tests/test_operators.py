@@ -144,3 +144,27 @@ def test_evidence_samples(spark):
     a = evidence.anchor_map(f)
     assert [(r["kind"], r["index"]) for r in evidence.page_samples(a).orderBy("k").collect()] == [("pdf_page", 1), ("pdf_page", 2), ("slide", 3)]
     assert [r.source_anchor for r in evidence.text_samples(a).collect()] == ["A / 段 1"]
+
+
+def test_audits_feed_the_ledger(spark):
+    """Audit, ledger, unresolved, and a second audit after the figure was mended."""
+    from blockloom.operators import audit
+
+    rows = spark.createDataFrame([("d", 1, "f1", "extracted/images/a.png"), ("d", 2, "f2", "extracted/images/b.png")], "doc_id string, ord int, id string, file string")
+    blocks = V.blocks(rows, doc_id=F.col("doc_id"), ord=F.col("ord"), id=F.col("id"), type=F.lit("figure"), figure=V.payload("figure", asset_file=F.col("file"), caption=F.lit("c"), description=F.lit("x")))
+    none = spark.createDataFrame([], "doc_id string, path string")
+    found = audit.run_audits(blocks, none)
+    first = ledger.merge(spark.createDataFrame([], ISSUES), found)
+    ids = {r.id for r in ledger.unresolved(first).collect()}
+    assert {"figure_f1_asset_missing", "figure_f2_asset_missing"} <= ids and {r.status for r in first.collect()} == {"open"}
+    there = spark.createDataFrame([("d", "extracted/images/a.png")], "doc_id string, path string")
+    second = {r.id: r.status for r in ledger.merge(first, audit.run_audits(blocks, there)).collect()}
+    assert second["figure_f1_asset_missing"] == "fixed" and second["figure_f2_asset_missing"] == "open"
+
+
+def test_a_longer_keyword_cites_the_shorter(spark):
+    from blockloom.operators import bind
+
+    rows = spark.createDataFrame([(1, "figure", None, "表 A1"), (2, "para", "见图表 A1。", None), (3, "para", "见表 A12", None)], "ord int, type string, text string, no string")
+    blocks = V.blocks(rows, doc_id=F.lit("d"), ord=F.col("ord"), id=F.concat(F.lit("b"), F.col("ord")), type=F.col("type"), content=F.when(F.col("type") == "para", V.payload("content", text=F.col("text"))), figure=F.when(F.col("type") == "figure", V.payload("figure", figure_no=F.col("no"))))
+    assert [(r["from"], r["to"]) for r in bind.references(blocks).collect()] == [("b2", "b1")]
