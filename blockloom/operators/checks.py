@@ -86,6 +86,30 @@ def ir_gate(docs: DataFrame, blocks: DataFrame, order: DataFrame, stats: DataFra
     return gate("ir", docs, specs)
 
 
+def extraction_gate(docs: DataFrame, meta: DataFrame, skeletons: DataFrame, images: DataFrame) -> DataFrame:
+    """What an extraction left: ``meta (doc_id, text)`` its JSON, ``skeletons`` and ``images (doc_id, path)`` its files.
+
+    Without a readable JSON there are no further checks.  A document without errors has its profile confirmed."""
+    parsed = F.try_parse_json("text")
+    got = meta.select("doc_id", parsed.isNull().alias("broken"), F.coalesce(F.json_object_keys(F.when(parsed.isNotNull(), F.col("text"))), F.array().cast("array<string>")).alias("k"), F.get_json_object(F.when(parsed.isNotNull(), F.col("text")), "$.mapped_image_count").try_cast("long").alias("mapped"))
+    lacks = lambda key: failing(got, ~F.array_contains("k", key), F.lit("missing"))
+    count = got.join(images.groupBy("doc_id").agg(F.count(F.lit(1)).alias("there")), "doc_id", "left").select("doc_id", F.coalesce("there", F.lit(0)).alias("there"), F.coalesce("mapped", F.lit(0)).alias("mapped"))
+    rows = gate("extraction", docs, [
+        ("extract_meta_present", "error", _has(meta, docs)),
+        ("extract_meta_parseable", "error", failing(got, F.col("broken"), F.lit("invalid JSON"))),
+        ("meta.source_format", "error", lacks("source_format")),
+        ("meta.image_count", "error", lacks("image_count")),
+        ("meta.structured_stats", "error", lacks("structured_stats")),
+        ("skeleton_present", "error", _has(skeletons, docs)),
+        ("image_count_consistent", "warn", failing(count, F.col("there") != F.col("mapped"), F.concat(F.lit("on disk="), F.col("there").cast("string"), F.lit(" mapped="), F.col("mapped").cast("string")))),
+    ], "1_extraction")
+    state = docs.select("doc_id").distinct().join(got.select("doc_id", "broken"), "doc_id", "left")
+    rows = rows.join(state, "doc_id").where((F.col("id") == "extract_meta_present") | F.when(F.col("broken"), F.col("id") == "extract_meta_parseable").otherwise(F.col("broken").isNotNull() & (F.col("id") != "extract_meta_parseable"))).drop("broken")
+    fit = rows.groupBy("doc_id").agg(F.bool_and(F.col("ok") | (F.col("level") != "error")).alias("fit")).where("fit")
+    sure = fit.select("doc_id", F.lit("extraction").alias("gate"), F.lit("1_extraction").alias("phase"), F.lit("profile_confirmed").alias("id"), F.lit(True).alias("ok"), F.lit("info").alias("level"), F.lit("ok").alias("message"))
+    return rows.unionByName(sure)
+
+
 def provenance_gate(docs: DataFrame, blocks: DataFrame, sources: DataFrame) -> DataFrame:
     """``sources (doc_id, path)`` are the declared files."""
     a = F.col("source_anchor")

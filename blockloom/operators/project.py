@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..schema import PAYLOAD_OF
 
 GENERIC_BUILD_TITLES = ("", "pdf", "doc", "docx", "document", "file", "unknown", "文档", "文件")
 
@@ -73,6 +74,17 @@ def same_projection(stored: DataFrame, fresh: DataFrame) -> DataFrame:
     return gone.join(new, "doc_id", "full").select("doc_id", F.coalesce("n_stale", F.lit(0)).alias("n_stale"), F.coalesce("n_missing", F.lit(0)).alias("n_missing"))
 
 
+def unknown_types(blocks: DataFrame) -> DataFrame:
+    """Blocks of a type that the block table does not have."""
+    return blocks.where(~F.coalesce(F.col("type").isin(*PAYLOAD_OF), F.lit(False))).select("doc_id", "id", "type")
+
+
+def checked_types(blocks: DataFrame) -> DataFrame:
+    """The same blocks; a type that the block table does not have stops the job."""
+    bad = F.concat(F.lit("unknown block type: "), F.coalesce("type", F.lit("null")))
+    return blocks.withColumn("type", F.when(F.col("type").isin(*PAYLOAD_OF), F.col("type")).otherwise(F.raise_error(bad).cast("string")))
+
+
 def stats(blocks: DataFrame) -> DataFrame:
     n = lambda t: F.count_if(F.col("type") == t)
     return blocks.groupBy("doc_id").agg(

@@ -29,10 +29,10 @@ def table_markdown(columns: Column, rows: Column) -> Column:
     return F.array_join(F.concat(F.array(head, line(F.transform(cols, lambda c: F.lit("---")))), F.transform(rows, lambda r: line(fit(r)))), "\n")
 
 
-def heading_slugs(blocks: DataFrame) -> DataFrame:
-    """Slug of each heading; the n-th of equal slugs in a document gets ``-n``."""
+def heading_slugs(blocks: DataFrame, *within: str) -> DataFrame:
+    """Slug of each heading; the n-th of equal slugs in a document (or in its group of columns ``within``) gets ``-n``."""
     base = blocks.where("type = 'heading'").withColumn("base", T.gfm_slug(F.col("heading.text")))
-    n = F.row_number().over(W.partitionBy("doc_id", "base").orderBy("ord")) - 1
+    n = F.row_number().over(W.partitionBy("doc_id", *within, "base").orderBy("ord")) - 1
     return base.withColumn("n", n).select("doc_id", "ord", "id", F.when(F.col("n") == 0, F.col("base")).otherwise(F.concat_ws("-", "base", "n")).alias("slug"))
 
 
@@ -45,8 +45,8 @@ def toc(blocks: DataFrame) -> DataFrame:
     return rows.groupBy("doc_id").agg(F.concat(F.lit("## 目录\n\n"), body).alias("toc"))
 
 
-def block_markdown(slug: Column | None = None) -> Column:
-    """Markdown of a block; null where the block is noise and is left out."""
+def block_markdown(slug: Column | None = None, assets: str = "assets") -> Column:
+    """Markdown of a block; null where the block is noise and is left out.  ``assets``: the images' folder, seen from the file."""
     mark = anchor_text(F.col("source_anchor"))
     suffix = F.when(mark == "", "").otherwise(F.concat(F.lit("　"), mark))
     aid = F.lit("") if slug is None else F.when(slug.isNull(), "").otherwise(F.concat(F.lit('<a id="'), slug, F.lit('"></a>\n')))
@@ -62,7 +62,7 @@ def block_markdown(slug: Column | None = None) -> Column:
     some = lambda x: F.nullif(x, F.lit(""))
     cap = F.coalesce(some(f["caption"]), some(f["figure_no"]), name)
     label = F.coalesce(some(f["figure_no"]), some(cap))
-    image = F.concat(F.lit("!["), cap, F.lit("](assets/"), name, F.lit(")"))
+    image = F.concat(F.lit("!["), cap, F.lit(f"]({assets}/"), name, F.lit(")"))
     bold = F.when(label.isNotNull(), F.concat(F.lit("**"), label, F.lit("**"), suffix)).otherwise(some(mark))
     said = F.when(F.coalesce(f["description"], F.lit("")) != "", T.blockquote(f["description"])).otherwise("> [未解析: 图片说明 — 需视觉描述]")
     guesses = F.transform(f["estimated_values"], lambda v: F.concat(F.lit("> **编者注**："), F.coalesce(v["label"], F.lit("None")), F.lit(" ≈ "), F.coalesce(v["value"], F.lit("None")), F.lit("（"), F.coalesce(v["basis"], F.lit("图上估读")), F.lit("）")))
@@ -75,9 +75,9 @@ def block_markdown(slug: Column | None = None) -> Column:
     return F.when(kind == "heading", heading).when(kind == "para", para).when(kind == "list", F.array_join(items, "\n")).when(kind == "table", table).when(kind == "figure", figure).when(kind == "formula", formula).when(kind == "code", code)
 
 
-def rendered(blocks: DataFrame) -> DataFrame:
-    slugs = heading_slugs(blocks).select("doc_id", "ord", "slug")
-    return blocks.join(slugs, ["doc_id", "ord"], "left").select("doc_id", "ord", "id", "type", block_markdown(F.col("slug")).alias("md"))
+def rendered(blocks: DataFrame, assets: str = "assets", within: tuple[str, ...] = ()) -> DataFrame:
+    slugs = heading_slugs(blocks, *within).select("doc_id", "ord", "slug")
+    return blocks.join(slugs, ["doc_id", "ord"], "left").select("doc_id", "ord", "id", "type", *within, block_markdown(F.col("slug"), assets).alias("md"))
 
 
 def _joined(keys: list[str], rows: DataFrame) -> DataFrame:
@@ -115,15 +115,15 @@ def source_range(page: str = "source_anchor.page", slide: str = "source_anchor.s
 
 
 def parts(blocks: DataFrame) -> DataFrame:
-    """One row for each part: title, range, path, counts, text and its estimated tokens."""
+    """One row for each part: title, range, path, counts, text and its estimated tokens.  A part is a file of its own: slugs
+    are told apart within it, and images lie beside its folder."""
     rows = sections(blocks)
     n = lambda t: F.count_if(F.col("type") == t)
     head = rows.groupBy("doc_id", "section").agg(
         F.first("section_title").alias("title"), source_range().alias("range"), F.count(F.lit(1)).alias("blocks"), n("heading").alias("headings"), n("table").alias("tables"), n("figure").alias("figures"), n("formula").alias("formulas"),
         F.min_by("type", "ord").alias("first_type"),
     )
-    md = rendered(blocks).join(rows.select("doc_id", "ord", "section"), ["doc_id", "ord"])
-    text = _joined(["doc_id", "section"], md)
+    text = _joined(["doc_id", "section"], rendered(rows, "../assets", ("section",)))
     body = F.when(F.col("first_type") == "heading", F.col("body")).otherwise(F.concat(F.lit("# "), F.col("title"), F.lit("\n\n"), F.col("body")))
     slug = F.coalesce(F.nullif(T.ascii_slug(F.col("title")), F.lit("")), F.nullif(T.ascii_slug(F.col("range")), F.lit("")), F.lit("part"))
     path = F.format_string("parts/%02d-%s.md", F.col("section") + 1, slug)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -29,6 +30,28 @@ def digest(files: DataFrame, *keys: str) -> DataFrame:
     return files.groupBy(*keys).agg(F.sha2(F.array_join(F.transform(all_, line), "").cast("binary"), 256).alias("digest"), F.count(F.lit(1)).alias("n_files"))
 
 
+def phase_snapshot(files: DataFrame, phase: str) -> DataFrame:
+    """The files ``(doc_id, path, sha256, bytes)`` that a phase reads and those that it writes, as rows of a snapshot.  A file
+    that it rewrites is in both."""
+    from .jobs import PHASE_FILES
+
+    sides = zip(("inputs", "outputs"), PHASE_FILES[phase])
+    kinds = F.filter(F.array(*[F.when(F.col("path").rlike(_globs(g)), kind) for kind, g in sides]), lambda k: k.isNotNull())
+    return files.select("doc_id", F.lit(phase).alias("phase"), F.explode(kinds).alias("kind"), "path", "sha256", F.col("bytes").cast("long").alias("bytes"))
+
+
+def _globs(patterns: tuple[str, ...]) -> str:
+    """Patterns of paths as one regular expression: ``**`` is any depth, ``*`` stays within a folder."""
+    one = lambda g: re.escape(g).replace(r"\*\*", ".+").replace(r"\*", "[^/]*")
+    return "^(?:" + "|".join(map(one, patterns)) + r")\z" if patterns else r"(?!)"
+
+
+def input_hashes(snapshots: DataFrame) -> DataFrame:
+    """``input_hashes`` of each document's manifest: the digest of what each phase read."""
+    d = digest(snapshots.where("kind = 'inputs'"), "doc_id", "phase")
+    return d.groupBy("doc_id").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("phase", "digest")))).alias("input_hashes"))
+
+
 def stale_diff(old: DataFrame, new: DataFrame) -> DataFrame:
     """Paths that were added, removed or changed between two snapshots (doc_id, path, sha256, bytes).  A document
     without an old snapshot has no difference."""

@@ -352,13 +352,18 @@ def split_sections(spark, sf):
     return rows.groupBy("doc_id", "section").agg(F.first("section_title").alias("title"), F.count(F.lit(1)).alias("blocks"), render.source_range().alias("range"))
 
 
-@query("""WITH h AS (SELECT p_brand, p_partkey, p_name, p_size, p_size % 6 + 1 AS lv, replace(p_name, ' ', '-') AS s FROM part), m AS (SELECT *, min(lv) OVER (PARTITION BY p_brand) AS top, row_number() OVER (PARTITION BY p_brand, s ORDER BY p_partkey) - 1 AS k FROM h),
-n AS (SELECT *, sum(CASE WHEN lv = top THEN 1 ELSE 0 END) OVER (PARTITION BY p_brand ORDER BY p_partkey) AS n, '<a id="' || s || CASE WHEN k = 0 THEN '' ELSE '-' || k END || '"></a>' || chr(10) || repeat('#', CAST(lv AS INTEGER)) || ' ' || p_name || '　〔源 p.' || p_size || '〕' AS md FROM m),
-z AS (SELECT *, n - min(n) OVER (PARTITION BY p_brand) AS section FROM n), p AS (SELECT p_brand, section, string_agg(md, chr(10) || chr(10) ORDER BY p_partkey) || chr(10) AS text, max(CASE WHEN lv = top THEN p_name END) AS t FROM z GROUP BY 1, 2)
-SELECT p_brand AS doc_id, 'parts/' || lpad(CAST(section + 1 AS VARCHAR), 2, '0') || '-' || CASE WHEN t IS NULL THEN 'x' ELSE replace(t, ' ', '_') END || '.md' AS path, text, greatest(1, strlen(text) // 4) AS approx_tokens FROM p WHERE t IS NOT NULL""")
+#: Parts of the documents of ``part_headings``: range, path and text.
+PART_FILES = """h AS (SELECT p_brand, p_partkey, p_name, p_size, p_size % 6 + 1 AS lv, replace(p_name, ' ', '-') AS s FROM part), top AS (SELECT *, min(lv) OVER (PARTITION BY p_brand) AS top FROM h),
+cut AS (SELECT *, sum(CASE WHEN lv = top THEN 1 ELSE 0 END) OVER (PARTITION BY p_brand ORDER BY p_partkey) AS n FROM top), sec AS (SELECT *, n - min(n) OVER (PARTITION BY p_brand) AS section FROM cut),
+slug AS (SELECT *, row_number() OVER (PARTITION BY p_brand, section, s ORDER BY p_partkey) - 1 AS k FROM sec),
+md AS (SELECT *, '<a id="' || s || CASE WHEN k = 0 THEN '' ELSE '-' || k END || '"></a>' || chr(10) || repeat('#', CAST(lv AS INTEGER)) || ' ' || p_name || '　〔源 p.' || p_size || '〕' AS md FROM slug),
+pt AS (SELECT p_brand, section, count(*) AS blocks, string_agg(md, chr(10) || chr(10) ORDER BY p_partkey) || chr(10) AS text, max(CASE WHEN lv = top THEN p_name END) AS t, CASE WHEN min(p_size) = max(p_size) THEN 'p.' || min(p_size) ELSE 'p.' || min(p_size) || '-' || max(p_size) END AS range FROM md GROUP BY 1, 2),
+parts AS (SELECT p_brand, section, blocks, range, text, coalesce(t, '前言') AS title, printf('parts/%02d-', CAST(section + 1 AS INTEGER)) || CASE WHEN t IS NULL THEN replace(replace(range, '.', '_'), '-', '_') ELSE replace(t, ' ', '_') END || '.md' AS path FROM pt)"""
+
+
+@query(f"WITH {PART_FILES} SELECT p_brand AS doc_id, path, text, greatest(1, strlen(text) // 4) AS approx_tokens FROM parts")
 def part_files(spark, sf):
-    p = render.parts(V.part_headings(spark, sf)).where("title <> '前言'")
-    return p.select("doc_id", "path", "text", "approx_tokens")
+    return render.parts(V.part_headings(spark, sf)).select("doc_id", "path", "text", "approx_tokens")
 
 
 @query("""WITH b AS (SELECT p_brand, count(*) AS n, sum(strlen('<a id="' || replace(p_name, ' ', '-') || '"></a># ' || p_name)) AS bytes FROM part GROUP BY 1)

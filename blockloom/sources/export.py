@@ -7,20 +7,6 @@ import uuid
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import render as R
-
-
-def output_files(blocks: DataFrame, pages: DataFrame, titles: DataFrame) -> DataFrame:
-    """The files of each document as rows ``(doc_id, role, path, text)``: main, and parts where a document is split."""
-    split = R.should_split(blocks, pages)
-    head = F.concat(F.lit("# "), F.col("title"), F.lit("\n\n"))
-    contents = R.toc(blocks)
-    whole = R.bodies(blocks).join(titles, "doc_id").join(contents, "doc_id", "left").join(split, "doc_id")
-    toc = F.coalesce("toc", F.concat(F.lit("## 目录\n\n- ["), F.col("title"), F.lit("](#section)")))
-    main = whole.select("doc_id", F.lit("main").alias("role"), F.lit("main.md").alias("path"), F.concat(head, toc, F.lit("\n\n---\n\n"), F.when(F.col("split"), "").otherwise(F.col("body")), F.lit("\n")).alias("text"))
-    parts = R.parts(blocks).join(split.where("split"), "doc_id", "left_semi").select("doc_id", F.lit("part").alias("role"), "path", "text")
-    return main.unionByName(parts)
-
 
 def publish(files: DataFrame, path: str) -> None:
     """Write rows to ``path`` at once: to a folder beside it first, then by one rename; an old result is put aside and

@@ -111,16 +111,50 @@ def test_binary_source_and_publish(spark, tmp_path):
 
 
 def test_output_files(spark):
+    from blockloom.operators import delivery
     from blockloom.operators.parse import parse
 
-    docs = spark.createDataFrame([("d", "s.md", ".md", "# A\nx\n# B\ny")], "doc_id string, source_file string, fmt string, text string")
+    docs = spark.createDataFrame([("d", "s.md", ".md", "# A\nx\n# B\ny"), ("e", "e.md", ".md", "only text")], "doc_id string, source_file string, fmt string, text string")
     b = parse(docs)
-    pages = spark.createDataFrame([("d", 200)], "doc_id string, pages int")
-    files = export.output_files(b, pages, spark.createDataFrame([("d", "T")], "doc_id string, title string"))
-    got = {r.path: r.text for r in files.collect()}
-    assert set(got) == {"main.md", "parts/01-a.md", "parts/02-b.md"} and "- [A](#a)" in got["main.md"]
-    index = render.agent_index(render.parts(b)).first()
-    assert len(json.loads(index.json)) == 2
+    about = spark.createDataFrame([("d", 'T "1"', "s.md", 200, " said\n"), ("e", None, "e.md", None, "<!-- later -->")], "doc_id string, title string, source_file string, pages int, seed string").withColumn("source_type", F.lit("md")).withColumn("risk", F.lit("low"))
+    files = delivery.output_files(about, b, spark.createDataFrame([], "doc_id string, path string"))
+    got = {(r.doc_id, r.path): r.text for r in files.collect()}
+    assert {p for d, p in got if d == "d"} == {"main.md", "parts/01-a.md", "parts/02-b.md", "index.md", "index.json", "provenance.json"}
+    main = got["d", "main.md"]
+    assert 'title: "T \\"1\\""' in main and "split: true" in main and "> **摘要**\n> said" in main and "- [A](parts/01-a.md) - 2 blocks" in main and "](#a)" not in main
+    other = got["e", "main.md"]
+    assert "# 文档\n" in other and "摘要" not in other and "- [文档](#文档)" in other and other.endswith("---\n\nonly text\n")
+    index = json.loads(got["d", "index.json"])
+    assert index["entry"]["mode"] == "split_index" and [p["path"] for p in index["parts"]] == ["parts/01-a.md", "parts/02-b.md"] and "| [A](parts/01-a.md) |" in got["d", "index.md"]
+    assert json.loads(got["e", "index.json"])["parts"] == [] and "- Mode: single file" in got["e", "index.md"]
+    assert len(json.loads(got["d", "provenance.json"])["blocks"]) == 4
+
+
+def test_parts_are_files_of_their_own(spark):
+    """Equal headings of two parts keep their slug, and images are found from the parts' folder."""
+    rows = spark.createDataFrame([(1, "heading", 1, "A"), (2, "heading", 2, "x"), (3, "figure", None, None), (4, "heading", 1, "B"), (5, "heading", 2, "x")], "ord int, type string, level int, text string")
+    b = V.blocks(rows, doc_id=F.lit("d"), ord=F.col("ord"), id=F.concat(F.lit("b"), F.col("ord")), type=F.col("type"), heading=F.when(F.col("type") == "heading", V.payload("heading", level=F.col("level"), text=F.col("text"))), figure=F.when(F.col("type") == "figure", V.payload("figure", asset_file=F.lit("extracted/images/i.png"), estimated_values=F.array())))
+    one, two = (r.text for r in render.parts(b).orderBy("section").collect())
+    assert "](../assets/i.png)" in one and '<a id="x"></a>' in one and '<a id="x"></a>' in two
+    assert "](assets/i.png)" in render.bodies(b).first().body
+
+
+def test_block_types_are_checked(spark):
+    from blockloom.operators import project
+
+    b = spark.createDataFrame([("d", "a", "para"), ("d", "b", "odd"), ("d", "c", None)], "doc_id string, id string, type string")
+    assert sorted(r.id for r in project.unknown_types(b).collect()) == ["b", "c"]
+    assert project.checked_types(b.where("id = 'a'")).first().type == "para"
+    with pytest.raises(Exception, match="unknown block type: odd"):
+        project.checked_types(b.where("id = 'b'")).collect()
+
+
+def test_previews_by_a_renderer(spark):
+    from blockloom.operators import delivery
+
+    f = spark.createDataFrame([("d", "m.md", "# A"), ("d", "n.md", "<b>'&")], "doc_id string, path string, text string")
+    got = {r.path: (r.html, r.renderer_ok) for r in delivery.previews(f, lambda c: F.when(c.startswith("#"), F.concat(F.lit("<h1>"), c))).collect()}
+    assert got == {"m.md": ("<h1># A", True), "n.md": ("<pre>&lt;b&gt;&#x27;&amp;</pre>", False)}
 
 
 def test_stream_ingest(spark, tmp_path):
