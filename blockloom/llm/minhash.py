@@ -11,7 +11,9 @@ own order, and in sorted signature order near-duplicates are neighbours with a l
    Each document keeps the candidate with the most votes and the one with the best agreement; these links are
    confirmed on full sets, and components formed.
 3. The regions are read again, whole: in a region that still holds several components, members that might be linked
-   across components are tied to one of them, its hub, and form its family.  Links that remain are found exactly in
+   across components are tied to one of them, its hub, and form its family.  Members of a family that fits in a block
+   send a sketch to it, and those whose sketches allow a link form families anew, one for each document, so that a full
+   set is sent once however many hubs a document has.  Links that remain are found exactly in
    each family.  One that fits in a block is compared there, all with all.  In larger ones, see ``_apart``, members are
    compared by what sets them apart from the family's centre, its majority set, and meet only where they share a rare
    difference.  So a crowd that just misses the threshold costs little, and no pair is made for two documents that are
@@ -21,7 +23,7 @@ Links are confirmed in blocks: candidates form families, families are dealt to b
 a full set travels once to each bucket of pairs of blocks that has a candidate pair of it, not once for each pair.
 
 All links that join what shares a region are thus found; two documents at the threshold share no region in any tree
-with a probability of 1e-5 at most, whatever the size of the regions.
+with a probability of 1e-5 at most, whatever the size of the regions; sketches miss a link with less than 1e-6.
 
 Full sets are 48-bit hashes of shingles, gathered once for documents that have a candidate.
 
@@ -65,6 +67,8 @@ BUCKET_BYTES = 8 << 20
 BROADCAST_ROWS = 1 << 18
 #: Bytes of a shingle's hash in a full set.
 WIDTH = 6
+#: Least shingle hashes (their 32 leading bits) in a sketch; a set of fewer shingles is its own sketch.
+SKETCH = 512
 _A = K.mix(np.arange(PERMS, dtype=K.U64) + K.U64(0xA11CE)) | K.U64(1)
 _B = K.mix(np.arange(PERMS, dtype=K.U64) + K.U64(0xB0B))
 _ORDER = np.stack([np.roll(np.arange(PERMS), -4 * t)[: DEPTH + LABELS] for t in range(TREES)])
@@ -147,6 +151,25 @@ def _sets(size: int):
     return run
 
 
+def _sketches(size: int):
+    """Sketches of rows whose text has the node that is wanted: its least hashes, which come first; once in a task."""
+
+    def run(batches):
+        schema, seen = K.arrow_schema("node long,n long,sketch binary"), set()
+        for rb, data, offs in K.slices(batches, "text"):
+            h, _, n = shingles(data, offs, size)
+            out = []
+            for node, want, at, c in zip(_nodes(h, n).tolist(), rb.column(rb.schema.get_field_index("want")).to_pylist(), np.cumsum(n) - n, n):
+                if node == want and node not in seen:
+                    seen.add(node)
+                    out.append((node, c, K.planes(h[at : at + min(c, SKETCH)] >> K.U64(32), 4)))
+            if out:
+                nodes, sizes, sketches = zip(*out)
+                yield K.table(schema, node=nodes, n=sizes, sketch=sketches)
+
+    return run
+
+
 def _forest(n_buckets: int):
     """Members of regions, packed by bucket: key, node, size, component, labels."""
     schema = K.arrow_schema("bucket int,members binary")
@@ -200,6 +223,11 @@ class Rules:
     def sizes(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         return 100 * np.minimum(a, b) >= self.percent * np.maximum(a, b)
 
+    def likely(self, both, union, cut):
+        """Whether samples of a union with ``both`` shared allow the threshold: five deviations below it, if ``cut``."""
+        s = self.percent / 100
+        return both >= s * union - np.where(cut, 5 * np.sqrt(s * (1 - s) * union), 0)
+
     def links(self, both, a, b):
         """The exact decision: sets of ``a`` and ``b`` elements with ``both`` in common."""
         return 100 * both >= self.percent * (a + b - both)
@@ -350,6 +378,60 @@ def _confirm(rules: Rules):
     return run
 
 
+def _shared(sets: list[np.ndarray]) -> np.ndarray:
+    """Elements that each two of some sets share."""
+    _, element, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    member = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    own = np.flatnonzero(count > 1)
+    at = np.searchsorted(own, element)
+    both = np.zeros((len(sets), len(sets)), np.float32)
+    held = np.flatnonzero(count[element] > 1)
+    held = held[np.argsort(at[held], kind="stable")]
+    cuts = np.searchsorted(at[held], np.arange(0, len(own) + 4096, 4096))
+    for x, (lo, hi) in enumerate(zip(cuts[:-1], cuts[1:])):
+        m = np.zeros((len(sets), 4096), np.float32)
+        m[member[held[lo:hi]], at[held[lo:hi]] - 4096 * x] = 1
+        both += m @ m.T
+    return both.astype(np.int64)
+
+
+def _alike(rules: Rules):
+    """Edges that hold together members of a family whose sketches allow a link between components.
+
+    Below the lesser of two sketches' last values both sets are known whole; what they hold there is a sample of their
+    union, of ``SKETCH`` elements at least where one of them is cut.
+    """
+
+    def run(tab: pa.Table) -> pa.Table:
+        of: dict[int, list] = {}
+        for r in tab.select(["family", "node", "component", "n", "sketch"]).to_pylist():
+            of.setdefault(r["family"], []).append((r["node"], r["component"], r["n"], K.unplanes(r["sketch"], 4).astype(np.int64)))
+        out = []
+        for rows in of.values():
+            nodes, comp, n = (np.array(x) for x in list(zip(*rows))[:3])
+            parts = [x for *_, x in rows]
+            size = np.array([len(x) for x in parts])
+            cut = n > SKETCH
+            last = np.array([x[-1] if c else 1 << 32 for x, c in zip(parts, cut)])
+            rank = np.stack([np.searchsorted(x, last, "right") for x in parts])
+            both = _shared(parts)
+            union = np.where(last[:, None] <= last[None, :], size[:, None] + rank.T, size[None, :] + rank) - both
+            ok = rules.likely(both, union, cut[:, None] | cut[None, :]) & rules.sizes(n[:, None], n[None, :]) & (comp[:, None] != comp[None, :])
+            left = ok.any(axis=1)
+            while left.any():
+                todo = [int(left.argmax())]
+                left[todo] = False
+                while todo:
+                    x = todo.pop()
+                    new = np.flatnonzero(ok[x] & left)
+                    left[new] = False
+                    out += [(nodes[x], nodes[y]) for y in new]
+                    todo += new.tolist()
+        return pa.table({"a": pa.array([a for a, _ in out], pa.int64()), "b": pa.array([b for _, b in out], pa.int64())})
+
+    return run
+
+
 def _within(rules: Rules):
     """Links between components in families of one block each, every member against every other."""
 
@@ -361,19 +443,7 @@ def _within(rules: Rules):
         for rows in (list(x.values()) for x in of.values()):
             n = np.array([len(x) for _, _, x in rows])
             comp = np.array([c for _, c, _ in rows])
-            _, element, count = np.unique(np.concatenate([x for _, _, x in rows]), return_inverse=True, return_counts=True)
-            member = np.repeat(np.arange(len(rows)), n)
-            own = np.flatnonzero(count > 1)
-            at = np.searchsorted(own, element)
-            both = np.zeros((len(rows), len(rows)), np.float32)
-            held = np.flatnonzero(count[element] > 1)
-            held = held[np.argsort(at[held], kind="stable")]
-            cuts = np.searchsorted(at[held], np.arange(0, len(own) + 4096, 4096))
-            for x, (lo, hi) in enumerate(zip(cuts[:-1], cuts[1:])):
-                m = np.zeros((len(rows), 4096), np.float32)
-                m[member[held[lo:hi]], at[held[lo:hi]] - 4096 * x] = 1
-                both += m @ m.T
-            both = both.astype(np.int64)
+            both = _shared([x for _, _, x in rows])
             i, j = np.nonzero(rules.links(both, n[:, None], n[None, :]) & (comp[:, None] < comp[None, :]))
             # one link for two components is enough
             _, one = np.unique(np.stack([comp[i], comp[j]]), axis=1, return_index=True)
@@ -468,17 +538,22 @@ def near_duplicates(docs: DataFrame, *, size: int = 5, percent: int = 80, id_col
 
     known: list[DataFrame] = []
 
+    def made(nodes: DataFrame, method, ddl: str, name: str) -> DataFrame:
+        """What ``method`` makes of the texts of ``nodes``, which are distinct."""
+        new = stored(nodes.join(reps.select(F.col("node").alias("want"), F.col("rep").alias("doc_id")), F.col("node") == F.col("want")).select("want", "doc_id"), "minhash-wanted")
+        # a few of the rows are wanted: a small table of them goes to the texts, a large one meets them in an exchange
+        few = F.broadcast(new) if new.count() <= BROADCAST_ROWS else new
+        out = stored(rows.join(few, "doc_id").select("text", "want").mapInArrow(method, ddl), name)
+        release(spark)
+        discard(new)
+        return out
+
     def gathered(nodes: DataFrame) -> DataFrame:
         """Full sets of ``nodes`` and of all asked for before; each is made once."""
         new = nodes.distinct()
         for k in known:
             new = new.join(k.select("node"), "node", "left_anti")
-        new = stored(new.join(reps.select(F.col("node").alias("want"), F.col("rep").alias("doc_id")), F.col("node") == F.col("want")).select("want", "doc_id"), "minhash-wanted")
-        # a few of the rows are wanted: a small table of them goes to the texts, a large one meets them in an exchange
-        few = F.broadcast(new) if new.count() <= BROADCAST_ROWS else new
-        known.append(stored(rows.join(few, "doc_id").select("text", "want").mapInArrow(_sets(size), "node long,shingles binary"), "minhash-shingles"))
-        release(spark)
-        discard(new)
+        known.append(made(new, _sets(size), "node long,shingles binary", "minhash-shingles"))
         out = known[0]
         for k in known[1:]:
             out = out.unionByName(k)
@@ -521,13 +596,26 @@ def near_duplicates(docs: DataFrame, *, size: int = 5, percent: int = 80, id_col
     ties = stored(regions(components(links), _hubs(kind, rules), "node long,hub long").distinct(), "minhash-ties")
     release(spark)
     if not ties.isEmpty():
-        families = stored(blocks(ties.select("node", F.col("hub").alias("component"))).withColumnRenamed("component", "family"), "minhash-families")
+        tied = stored(blocks(ties.select("node", F.col("hub").alias("component"))).withColumnRenamed("component", "family"), "minhash-families")
         discard(ties)
-        sets = gathered(families.select("node"))
         task = F.pmod(F.xxhash64("block"), F.lit(n_tasks)).alias("task")
         labels = components(links)
-        small = families.where("k = 1").join(labels, "node", "left").select(F.pmod(F.xxhash64("family"), F.lit(n_tasks)).alias("task"), "family", "node", F.coalesce("component", "node").alias("component"))
-        inner = small.join(sets, "node").select("task", "family", "node", "component", "shingles").groupBy("task").applyInArrow(_within(rules), "a long,b long")
+
+        def dealt(families: DataFrame) -> DataFrame:
+            """Members of families of one block, with their component."""
+            return families.where("k = 1").join(labels, "node", "left").select(F.pmod(F.xxhash64("family"), F.lit(n_tasks)).alias("task"), "family", "node", F.coalesce("component", "node").alias("component"))
+
+        # a document has a family for each hub: sketches go to them, and full sets to the one family of what may link
+        sketched = made(tied.where("k = 1").select("node").distinct(), _sketches(size), "node long,n long,sketch binary", "minhash-sketches")
+        alike = dealt(tied).join(sketched, "node").select("task", "family", "node", "component", "n", "sketch").groupBy("task").applyInArrow(_alike(rules), "a long,b long")
+        alike = stored(alike, "minhash-alike")
+        discard(sketched)
+        release(spark)
+        merged = components(alike).select("node", F.xxhash64("component", F.lit(1)).alias("component"))
+        families = stored(blocks(merged).withColumnRenamed("component", "family").unionByName(tied.where("k > 1").select("family", "node", "k", "salt", "block")), "minhash-families")
+        discard(tied, alike)
+        sets = gathered(families.select("node"))
+        inner = dealt(families).join(sets, "node").select("task", "family", "node", "component", "shingles").groupBy("task").applyInArrow(_within(rules), "a long,b long")
         links = links.unionByName(stored(inner, "minhash-links"))
         release(spark)
         place = families.where("k > 1")

@@ -185,3 +185,26 @@ def test_lexicon_keeps_a_word_of_many_copies_and_few_left_words():
     texts = [t.encode() for t in good + [copy] * 300 + others + led]
     words, _ = toxicity.lexicon(texts, np.array([0] * 400 + [1] * 400))
     assert toxicity.word_hash("scumbag") in words and toxicity.word_hash("dimwit") in words
+
+
+@pytest.mark.parametrize("n", [100, 1200, 4000])
+def test_sketches_hold_every_link_together(n):
+    """Members linked across components by their full sets stay connected in the edges made from their sketches."""
+    rng, rules = np.random.default_rng(n), minhash.Rules(80)
+    base = rng.integers(0, 1 << 63, n, dtype=np.uint64) << K.U64(1)
+    sets = []
+    for i in range(40):
+        own = rng.integers(0, 1 << 63, n, dtype=np.uint64) << K.U64(1)
+        keep = rng.random(n) > (0.02 + 0.02 * (i % 12) if i < 30 else 1)
+        sets.append(np.unique(np.where(keep, base, own)))
+    packed = [K.planes(x[: minhash.SKETCH] >> K.U64(32), 4) for x in sets]
+    edges = minhash._alike(rules)(pa.table({"family": [7] * 40, "node": list(range(40)), "component": list(range(40)), "n": [len(x) for x in sets], "sketch": packed}))
+    top = list(range(40))
+    for a, b in zip(edges["a"].to_pylist(), edges["b"].to_pylist()):
+        top = [top[a] if t == top[b] else t for t in top]
+    for a in range(40):
+        for b in range(a):
+            both = len(np.intersect1d(sets[a], sets[b]))
+            if rules.links(both, len(sets[a]), len(sets[b])):
+                assert top[a] == top[b]
+    assert all(a < 30 and b < 30 for a, b in zip(edges["a"].to_pylist(), edges["b"].to_pylist()))
