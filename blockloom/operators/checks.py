@@ -2,7 +2,7 @@
 
 A check is a row ``(doc_id, gate, phase, id, ok, level, message)``.  A gate is a list of specifications; each gives a
 frame with the documents that fail and how many offenders there are.  All documents of a gate's universe get a row
-for each check, by one join of the universe with the gathered failures.
+for each check, by one grouping of the universe with the gathered failures.
 """
 
 from __future__ import annotations
@@ -37,9 +37,11 @@ def failing(rows: DataFrame, bad: Column, what: str | Column = "id") -> DataFram
 def gate(name: str, universe: DataFrame, specs: Iterable[tuple[str, str, DataFrame]], phase: str | None = None) -> DataFrame:
     """``specs``: (check id, level, failing documents).  Documents of ``universe`` without a failure pass."""
     specs = list(specs)
-    found = reduce(DataFrame.unionByName, [f.select("doc_id", F.lit(i).alias("id"), "n", "first") for i, _, f in specs])
+    # one exchange by document and no join: the failures of a large corpus never fit a broadcast
+    found = reduce(DataFrame.unionByName, [f.select("doc_id", F.struct(F.lit(i).alias("id"), F.col("n").cast("long").alias("n"), "first").alias("hit")) for i, _, f in specs])
+    rows = universe.select("doc_id", F.lit(True).alias("_in")).unionByName(found, allowMissingColumns=True).groupBy("doc_id").agg(F.max("_in").alias("_in"), F.collect_list("hit").alias("hits")).where("_in")
     plan = F.explode(F.array(*[F.struct(F.lit(i).alias("id"), F.lit(lv).alias("level")) for i, lv, _ in specs])).alias("c")
-    rows = universe.select("doc_id").distinct().select("doc_id", plan).select("doc_id", "c.id", "c.level").join(found, ["doc_id", "id"], "left")
+    rows = rows.select("doc_id", "hits", plan).withColumn("hit", F.get(F.filter("hits", lambda x: x["id"] == F.col("c.id")), F.lit(0))).select("doc_id", "c.id", "c.level", "hit.n", "hit.first")
     message = F.when(F.col("n").isNull(), "ok").otherwise(F.concat(F.col("n").cast("string"), F.lit(": "), F.coalesce("first", F.lit(""))))
     return rows.select("doc_id", F.lit(name).alias("gate"), F.lit(phase).cast("string").alias("phase"), "id", F.col("n").isNull().alias("ok"), "level", message.alias("message"))
 

@@ -202,3 +202,15 @@ def test_a_longer_keyword_cites_the_shorter(spark):
     rows = spark.createDataFrame([(1, "figure", None, "表 A1"), (2, "para", "见图表 A1。", None), (3, "para", "见表 A12", None)], "ord int, type string, text string, no string")
     blocks = V.blocks(rows, doc_id=F.lit("d"), ord=F.col("ord"), id=F.concat(F.lit("b"), F.col("ord")), type=F.col("type"), content=F.when(F.col("type") == "para", V.payload("content", text=F.col("text"))), figure=F.when(F.col("type") == "figure", V.payload("figure", figure_no=F.col("no"))))
     assert [(r["from"], r["to"]) for r in bind.references(blocks).collect()] == [("b2", "b1")]
+
+
+def test_gate_has_no_join(spark):
+    docs = spark.createDataFrame([("a", 0), ("a", 1), ("b", 0), ("c", 1)], "doc_id string, x int")
+    failed = lambda c: checks.failing(docs, c, "x")
+    stray = spark.createDataFrame([("z", 1, "w")], "doc_id string, n int, first string")
+    rows = checks.gate("g", docs, [("one", "error", failed(F.col("x") == 1)), ("none", "warn", failed(F.col("x") > 1)), ("stray", "error", stray)], "p")
+    got = {(r.doc_id, r.id): (r.gate, r.phase, r.ok, r.level, r.message) for r in rows.collect()}
+    assert rows.count() == 9 and got["a", "one"] == ("g", "p", False, "error", "1: 1") and got["c", "one"] == ("g", "p", False, "error", "1: 1")
+    assert {k for k, v in got.items() if not v[2]} == {("a", "one"), ("c", "one")}
+    assert got["b", "none"] == ("g", "p", True, "warn", "ok")
+    assert "Join" not in rows._jdf.queryExecution().executedPlan().toString()
