@@ -214,3 +214,18 @@ def test_gate_has_no_join(spark):
     assert {k for k, v in got.items() if not v[2]} == {("a", "one"), ("c", "one")}
     assert got["b", "none"] == ("g", "p", True, "warn", "ok")
     assert "Join" not in rows._jdf.queryExecution().executedPlan().toString()
+
+
+def test_unresolved_text_is_not_sought_by_row(spark):
+    names = [x.split()[0] for x in ISSUES.split(", ")]
+    rows = [("a", "1", "plain", "open"), ("a", "2", "two\nlines", "open"), ("a", "3", "lacking", "open"), ("a", "4", None, "open"), ("a", "5", "", "open"), ("a", "6", "part", "open"), ("a", "7", "gone", "fixed"), ("b", "8", "plain", "open")]
+    issues = spark.createDataFrame([tuple({"doc_id": d, "id": i, "issue": x, "status": st, "severity": "minor", "category": "table"}.get(n, "") for n in names) for d, i, x, st in rows], ", ".join(f"{n} string" for n in names))
+    text = "# Unresolved\n\n## 1\n\n- issue: plain\n\n## 2\n- issue: two\nlines\n\n## 7\n- issue: a part of it\n"
+    projected = spark.createDataFrame([("a", text)], "doc_id string, text string")
+    out = checks.unresolved_gate(issues.select("doc_id"), issues, projected)
+    got = {(r.doc_id, r.id): r.message for r in out.collect()}
+    assert got["a", "unresolved_ids_projected"] == "4: 3, 4, 5, 6" and got["b", "unresolved_ids_projected"] == "1: 8"
+    assert got["a", "fixed_ids_not_projected"] == "1: 7" and got["b", "fixed_ids_not_projected"] == "ok"
+    assert got["a", "unresolved_issue_text_projected"] == "2: 3, 4" and got["b", "unresolved_issue_text_projected"] == "1: 8"
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "array_contains(split(text" not in plan
