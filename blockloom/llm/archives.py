@@ -37,6 +37,8 @@ from .storage import shared_dir, small_batches, stored, temporary
 
 MIN_REVISIT = 1000
 ARCHIVE_BYTES = 8 << 20
+#: Bytes given to the decompressor at once.
+PIECE = 16 << 10
 #: Effort of compression.
 LEVEL = 1
 DATE = "20200101000000"
@@ -94,7 +96,7 @@ def _save(rows: DataFrame, write, path: str) -> None:
 
 
 def arc_record(version: int, page_id, url, html, offset: int = 0) -> bytes:
-    payload = (html or "").encode()
+    payload = html if isinstance(html, bytes) else (html or "").encode()
     ident = f"X-Page-Id: {page_id}\r\n" if page_id is not None else ""
     block = f"HTTP/1.1 200 OK\r\nContent-Type: text/html\r\n{ident}Content-Length: {len(payload)}\r\n\r\n".encode() + payload
     fields = [_clean(url, page_id), "0.0.0.0", DATE, "text/html"]
@@ -118,16 +120,21 @@ def write_arc(pages: DataFrame, path: str, version: int) -> None:
 
         yield from _files(_archives(records(), lambda serial: first, ARCHIVE_BYTES))
 
-    _save(pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), F.col("html").cast("string")), write, path)
+    _save(pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), F.col("html").cast("string").cast("binary")), write, path)
 
 
 def _inflate(raw: bytes) -> bytes:
-    """All members of a gzip file, or the bytes themselves."""
-    out = []
-    while raw[:2] == b"\x1f\x8b":
+    """All members of a gzip file, or the bytes themselves.
+
+    Fed by small pieces: what a member leaves over is copied, and that must not be the rest of the file."""
+    out, at, view = [], 0, memoryview(raw)
+    while view[at : at + 2] == b"\x1f\x8b":
         d = zlib.decompressobj(31)
-        out.append(d.decompress(raw) + d.flush())
-        raw = d.unused_data
+        while not d.eof and at < len(raw):
+            piece = view[at : at + PIECE]
+            out.append(d.decompress(piece))
+            at += len(piece) - len(d.unused_data)
+        out.append(d.flush())
     return b"".join(out) if out else raw
 
 
