@@ -229,3 +229,14 @@ def test_unresolved_text_is_not_sought_by_row(spark):
     assert got["a", "unresolved_issue_text_projected"] == "2: 3, 4" and got["b", "unresolved_issue_text_projected"] == "1: 8"
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert "array_contains(split(text" not in plan
+
+
+def test_numbers_above_999_are_whole(spark):
+    from blockloom.operators import bind, parse
+
+    text = "\n\n".join(f"[VISION_PLACEHOLDER_i{i}.png]" for i in range(1003))
+    blocks = parse.parse(spark.createDataFrame([("a", "f.md", ".md", text)], "doc_id string, source_file string, fmt string, text string"))
+    ids = [r.id for r in blocks.orderBy("ord").collect()]
+    assert len(set(ids)) == 1003 and ids[99] == "block_figure_100" and ids[-1] == "block_figure_1003"
+    names = [r.asset_name for r in bind.asset_names(blocks).orderBy("ord").collect()]
+    assert len(set(names)) == 1003 and names[-1] == "fig_doc_asset_1003.png"
