@@ -36,6 +36,7 @@ empty result; other columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -570,17 +571,26 @@ def near_duplicates(docs: DataFrame, *, size: int = 5, percent: int = 80, id_col
         salt = F.pmod(F.xxhash64("node"), F.col("k"))
         return family.join(sized, "component").select("node", "component", "k", salt.alias("salt"), F.xxhash64("component", salt).alias("block"))
 
+    def rounds(wanted: DataFrame, task: str, method, name: str) -> DataFrame:
+        """``method`` of what tasks want, in rounds of tasks: the wants of a round are broadcast, so that full sets go to
+        their tasks at once, not by node before, and a round's exchange is gone when the next begins."""
+        k = max(1, -(-wanted.count() // BROADCAST_ROWS))
+        out = []
+        for i in range(k):
+            turn = lambda c, i=i: F.pmod(F.xxhash64(c, F.lit(2)), F.lit(k)) == i
+            out.append(stored(method(F.broadcast(wanted.where(turn(task))), turn), name))
+            release(spark)
+        return reduce(DataFrame.unionByName, out)
+
     def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         """Links among candidate pairs.  Pairs that hang together are a family; a family is one block, or more by weight."""
         place = stored(blocks(components(pairs), pairs).select("node", "block"), "minhash-blocks")
         at = lambda c: place.select(F.col("node").alias(c), F.col("block").alias("block_" + c))
         task = F.pmod(F.xxhash64(F.least("block_a", "block_b"), F.greatest("block_a", "block_b")), F.lit(n_tasks))
         placed = stored(pairs.join(at("a"), "a").join(at("b"), "b").select("a", "b", task.alias("task")), "minhash-pairs")
-        needed = placed.select(F.col("task").alias("of"), F.explode(F.array("a", "b")).alias("node")).distinct()
-        got = placed.groupBy("task").cogroup(needed.join(sets, "node").select("of", "node", "shingles").groupBy("of")).applyInArrow(_confirm(rules), "a long,b long")
-        out = stored(got, "minhash-links")
-        discard(place, placed)
-        release(spark)
+        needed = stored(placed.select(F.col("task").alias("of"), F.explode(F.array("a", "b")).alias("node")).distinct(), "minhash-needed")
+        out = rounds(needed, "of", lambda now, turn: placed.where(turn("task")).groupBy("task").cogroup(now.join(sets, "node").select("of", "node", "shingles").groupBy("of")).applyInArrow(_confirm(rules), "a long,b long"), "minhash-links")
+        discard(place, placed, needed)
         return out
 
     near = stored(regions(None, _neighbours(kind, rules), _NEAR).groupBy("child", "parent").agg(F.max("agree").alias("agree"), F.sum("votes").alias("votes")), "minhash-candidates")
@@ -607,17 +617,16 @@ def near_duplicates(docs: DataFrame, *, size: int = 5, percent: int = 80, id_col
 
         # a document has a family for each hub: sketches go to them, and full sets to the one family of what may link
         sketched = made(tied.where("k = 1").select("node").distinct(), _sketches(size), "node long,n long,sketch binary", "minhash-sketches")
-        alike = dealt(tied).join(sketched, "node").select("task", "family", "node", "component", "n", "sketch").groupBy("task").applyInArrow(_alike(rules), "a long,b long")
-        alike = stored(alike, "minhash-alike")
-        discard(sketched)
-        release(spark)
+        wanted = stored(dealt(tied), "minhash-dealt")
+        alike = rounds(wanted, "task", lambda now, _: now.join(sketched, "node").select("task", "family", "node", "component", "n", "sketch").groupBy("task").applyInArrow(_alike(rules), "a long,b long"), "minhash-alike")
+        discard(sketched, wanted)
         merged = components(alike).select("node", F.xxhash64("component", F.lit(1)).alias("component"))
         families = stored(blocks(merged).withColumnRenamed("component", "family").unionByName(tied.where("k > 1").select("family", "node", "k", "salt", "block")), "minhash-families")
         discard(tied, alike)
         sets = gathered(families.select("node"))
-        inner = dealt(families).join(sets, "node").select("task", "family", "node", "component", "shingles").groupBy("task").applyInArrow(_within(rules), "a long,b long")
-        links = links.unionByName(stored(inner, "minhash-links"))
-        release(spark)
+        wanted = stored(dealt(families), "minhash-dealt")
+        links = links.unionByName(rounds(wanted, "task", lambda now, _: now.join(sets, "node").select("task", "family", "node", "component", "shingles").groupBy("task").applyInArrow(_within(rules), "a long,b long"), "minhash-links"))
+        discard(wanted)
         place = families.where("k > 1")
         if not place.isEmpty():
             # a block that has members: with few of them a salt may have none
