@@ -21,11 +21,13 @@ own order, and in sorted signature order near-duplicates are neighbours with a l
 
 Links are confirmed in blocks: candidates form families, families are dealt to blocks of some hundred kilobytes, and
 a full set travels once to each bucket of pairs of blocks that has a candidate pair of it, not once for each pair.
+Tasks take turns in rounds, so that what is under way at once is a bounded share of all sets, however many are wanted.
 
 All links that join what shares a region are thus found; two documents at the threshold share no region in any tree
 with a probability of 1e-5 at most, whatever the size of the regions; sketches miss a link with less than 1e-6.
 
-Full sets are 48-bit hashes of shingles, gathered once for documents that have a candidate.
+Full sets are 48-bit hashes of shingles.  They go from the texts straight to the tasks of a round and are not stored, but
+for families of several blocks.
 
 Defined cases: null text or no words: an empty set, linked with nothing; fewer words than a shingle: the whole
 sequence is one shingle; repeated rows and equal texts are one component; rows that share an id and differ in text
@@ -66,6 +68,8 @@ BLOCK_PAIRS = 1 << 16
 BUCKET_BYTES = 8 << 20
 #: Rows of two numbers that are broadcast at most (4 MB).
 BROADCAST_ROWS = 1 << 18
+#: Bytes of full sets or sketches in the exchange of a round: at most a quarter of all sets, or these.
+ROUND_BYTES = 64 << 20
 #: Bytes of a shingle's hash in a full set.
 WIDTH = 6
 #: Least shingle hashes (their 32 leading bits) in a sketch; a set of fewer shingles is its own sketch.
@@ -74,6 +78,7 @@ _A = K.mix(np.arange(PERMS, dtype=K.U64) + K.U64(0xA11CE)) | K.U64(1)
 _B = K.mix(np.arange(PERMS, dtype=K.U64) + K.U64(0xB0B))
 _ORDER = np.stack([np.roll(np.arange(PERMS), -4 * t)[: DEPTH + LABELS] for t in range(TREES)])
 _SIG = "doc_id long,n_shingles long,node long,signature binary"
+_SETS = "of long,node long,shingles binary"
 
 
 def shingles(data: np.ndarray, offs: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -132,22 +137,23 @@ def _sign(size: int):
 
 
 def _sets(size: int):
-    """Full sets of rows whose text has the node that is wanted; once in a task."""
+    """Full sets of rows whose text has the node that is wanted, one for each task that they are for; once in a task of
+    this stage."""
 
     def run(batches):
-        schema, seen = K.arrow_schema("node long,shingles binary"), set()
+        schema, seen = K.arrow_schema(_SETS), set()
         for rb, data, offs in K.slices(batches, "text"):
             h, _, n = shingles(data, offs, size)
             ends = np.cumsum(n)
             short = h >> K.U64(64 - 8 * WIDTH)
-            out = []
-            for node, want, e, c in zip(_nodes(h, n).tolist(), rb.column(rb.schema.get_field_index("want")).to_pylist(), ends, n):
-                if node == want and node not in seen:
+            want, of = (rb.column(rb.schema.get_field_index(c)).to_pylist() for c in ("want", "of"))
+            for node, w, tasks, e, c in zip(_nodes(h, n).tolist(), want, of, ends, n):
+                if node == w and node not in seen:
                     seen.add(node)
-                    out.append((node, K.planes(np.unique(short[e - c : e]), WIDTH)))
-            if out:
-                nodes, sets = zip(*out)
-                yield K.table(schema, node=nodes, shingles=sets)
+                    packed = K.planes(np.unique(short[e - c : e]), WIDTH)
+                    for at in range(0, len(tasks), 64):
+                        some = tasks[at : at + 64]
+                        yield K.table(schema, of=some, node=[node] * len(some), shingles=[packed] * len(some))
 
     return run
 
@@ -537,28 +543,23 @@ def near_duplicates(docs: DataFrame, *, size: int = 5, percent: int = 80, id_col
         # a task reads its buckets at once: grouping by bucket would sort them for nothing
         return packed.repartition(n_buckets, "bucket").select("members").mapInArrow(method, ddl)
 
-    known: list[DataFrame] = []
+    round_bytes = max(ROUND_BYTES, weight * WIDTH // 4)
+    origin = reps.select("node", "n", F.col("rep").alias("doc_id"))
 
     def made(nodes: DataFrame, method, ddl: str, name: str) -> DataFrame:
         """What ``method`` makes of the texts of ``nodes``, which are distinct."""
-        new = stored(nodes.join(reps.select(F.col("node").alias("want"), F.col("rep").alias("doc_id")), F.col("node") == F.col("want")).select("want", "doc_id"), "minhash-wanted")
+        new = stored(nodes.join(origin.drop("n"), "node").withColumnRenamed("node", "want"), "minhash-wanted")
         # a few of the rows are wanted: a small table of them goes to the texts, a large one meets them in an exchange
         few = F.broadcast(new) if new.count() <= BROADCAST_ROWS else new
-        out = stored(rows.join(few, "doc_id").select("text", "want").mapInArrow(method, ddl), name)
+        out = stored(rows.join(few, "doc_id").select("text", *new.drop("doc_id").columns).mapInArrow(method, ddl), name)
         release(spark)
         discard(new)
         return out
 
-    def gathered(nodes: DataFrame) -> DataFrame:
-        """Full sets of ``nodes`` and of all asked for before; each is made once."""
-        new = nodes.distinct()
-        for k in known:
-            new = new.join(k.select("node"), "node", "left_anti")
-        known.append(made(new, _sets(size), "node long,shingles binary", "minhash-shingles"))
-        out = known[0]
-        for k in known[1:]:
-            out = out.unionByName(k)
-        return out
+    def sent(now: DataFrame) -> DataFrame:
+        """Full sets from the texts to the tasks of a round that want them ``(of, node, doc_id)``."""
+        to = now.groupBy("doc_id", F.col("node").alias("want")).agg(F.collect_set("of").alias("of"))
+        return rows.join(F.broadcast(to), "doc_id").select("text", "want", "of").mapInArrow(_sets(size), _SETS)
 
     def blocks(family: DataFrame, pairs: DataFrame | None = None) -> DataFrame:
         """Members of families ``(node, component)``, dealt to blocks by the weight of their sets and the number of pairs."""
@@ -571,10 +572,12 @@ def near_duplicates(docs: DataFrame, *, size: int = 5, percent: int = 80, id_col
         salt = F.pmod(F.xxhash64("node"), F.col("k"))
         return family.join(sized, "component").select("node", "component", "k", salt.alias("salt"), F.xxhash64("component", salt).alias("block"))
 
-    def rounds(wanted: DataFrame, task: str, method, name: str) -> DataFrame:
+    def rounds(wanted: DataFrame, task: str, n_bytes, method, name: str) -> DataFrame:
         """``method`` of what tasks want, in rounds of tasks: the wants of a round are broadcast, so that full sets go to
-        their tasks at once, not by node before, and a round's exchange is gone when the next begins."""
-        k = max(1, -(-wanted.count() // BROADCAST_ROWS))
+        their tasks at once, not by node before, and a round's exchange is gone when the next begins.  ``n_bytes``: what a
+        want sends, from its ``n``."""
+        count, held = wanted.agg(F.count(F.lit(1)), F.coalesce(F.sum(n_bytes), F.lit(0))).first()
+        k = max(1, -(-count // BROADCAST_ROWS), -(-held // round_bytes))
         out = []
         for i in range(k):
             turn = lambda c, i=i: F.pmod(F.xxhash64(c, F.lit(2)), F.lit(k)) == i
@@ -582,14 +585,14 @@ def near_duplicates(docs: DataFrame, *, size: int = 5, percent: int = 80, id_col
             release(spark)
         return reduce(DataFrame.unionByName, out)
 
-    def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    def confirmed(pairs: DataFrame) -> DataFrame:
         """Links among candidate pairs.  Pairs that hang together are a family; a family is one block, or more by weight."""
         place = stored(blocks(components(pairs), pairs).select("node", "block"), "minhash-blocks")
         at = lambda c: place.select(F.col("node").alias(c), F.col("block").alias("block_" + c))
         task = F.pmod(F.xxhash64(F.least("block_a", "block_b"), F.greatest("block_a", "block_b")), F.lit(n_tasks))
         placed = stored(pairs.join(at("a"), "a").join(at("b"), "b").select("a", "b", task.alias("task")), "minhash-pairs")
-        needed = stored(placed.select(F.col("task").alias("of"), F.explode(F.array("a", "b")).alias("node")).distinct(), "minhash-needed")
-        out = rounds(needed, "of", lambda now, turn: placed.where(turn("task")).groupBy("task").cogroup(now.join(sets, "node").select("of", "node", "shingles").groupBy("of")).applyInArrow(_confirm(rules), "a long,b long"), "minhash-links")
+        needed = stored(placed.select(F.col("task").alias("of"), F.explode(F.array("a", "b")).alias("node")).distinct().join(origin, "node"), "minhash-needed")
+        out = rounds(needed, "of", WIDTH * F.col("n"), lambda now, turn: placed.where(turn("task")).groupBy("task").cogroup(sent(now).groupBy("of")).applyInArrow(_confirm(rules), "a long,b long"), "minhash-links")
         discard(place, placed, needed)
         return out
 
@@ -599,7 +602,7 @@ def near_duplicates(docs: DataFrame, *, size: int = 5, percent: int = 80, id_col
     chosen = near.groupBy("child").agg(F.array_distinct(F.array(by("votes", "agree"), by("agree"))).alias("p")).select("child", F.explode("p").alias("parent"))
     parents = stored(chosen.select(F.least("child", "parent").alias("a"), F.greatest("child", "parent").alias("b")).distinct(), "minhash-parents")
     discard(near)
-    links = confirmed(parents, gathered(parents.select(F.explode(F.array("a", "b")).alias("node"))))
+    links = confirmed(parents)
     discard(parents)
     release(spark)
 
@@ -613,22 +616,31 @@ def near_duplicates(docs: DataFrame, *, size: int = 5, percent: int = 80, id_col
 
         def dealt(families: DataFrame) -> DataFrame:
             """Members of families of one block, with their component."""
-            return families.where("k = 1").join(labels, "node", "left").select(F.pmod(F.xxhash64("family"), F.lit(n_tasks)).alias("task"), "family", "node", F.coalesce("component", "node").alias("component"))
+            task = F.pmod(F.xxhash64("family"), F.lit(n_tasks)).alias("task")
+            return families.where("k = 1").join(labels, "node", "left").join(origin, "node").select(task, "family", "node", F.coalesce("component", "node").alias("component"), "n", "doc_id")
 
         # a document has a family for each hub: sketches go to them, and full sets to the one family of what may link
         sketched = made(tied.where("k = 1").select("node").distinct(), _sketches(size), "node long,n long,sketch binary", "minhash-sketches")
         wanted = stored(dealt(tied), "minhash-dealt")
-        alike = rounds(wanted, "task", lambda now, _: now.join(sketched, "node").select("task", "family", "node", "component", "n", "sketch").groupBy("task").applyInArrow(_alike(rules), "a long,b long"), "minhash-alike")
+        alike = rounds(wanted, "task", 4 * F.least("n", F.lit(SKETCH)), lambda now, _: now.drop("n").join(sketched, "node").select("task", "family", "node", "component", "n", "sketch").groupBy("task").applyInArrow(_alike(rules), "a long,b long"), "minhash-alike")
         discard(sketched, wanted)
         merged = components(alike).select("node", F.xxhash64("component", F.lit(1)).alias("component"))
         families = stored(blocks(merged).withColumnRenamed("component", "family").unionByName(tied.where("k > 1").select("family", "node", "k", "salt", "block")), "minhash-families")
         discard(tied, alike)
-        sets = gathered(families.select("node"))
         wanted = stored(dealt(families), "minhash-dealt")
-        links = links.unionByName(rounds(wanted, "task", lambda now, _: now.join(sets, "node").select("task", "family", "node", "component", "shingles").groupBy("task").applyInArrow(_within(rules), "a long,b long"), "minhash-links"))
+
+        def compared(now: DataFrame, _) -> DataFrame:
+            sets = sent(now.withColumnRenamed("task", "of")).withColumnRenamed("of", "task")
+            return now.join(sets, ["task", "node"]).select("task", "family", "node", "component", "shingles").groupBy("task").applyInArrow(_within(rules), "a long,b long")
+
+        links = links.unionByName(rounds(wanted, "task", WIDTH * F.col("n"), compared, "minhash-links"))
         discard(wanted)
         place = families.where("k > 1")
         if not place.isEmpty():
+            # these are read more than once
+            nodes = place.select("node").distinct().withColumn("of", F.array(F.lit(0).cast("long")))
+            whole = made(nodes, _sets(size), _SETS, "minhash-shingles")
+            sets = whole.drop("of")
             # a block that has members: with few of them a salt may have none
             some = place.groupBy("family").agg(F.min("salt").alias("salt"))
             lead = place.join(some, ["family", "salt"], "left_semi").join(sets, "node").select(F.pmod(F.xxhash64("family"), F.lit(n_tasks)).alias("task"), "family", "shingles")
@@ -653,7 +665,7 @@ def near_duplicates(docs: DataFrame, *, size: int = 5, percent: int = 80, id_col
             own = first.join(nearest.withColumnRenamed("r", "node"), ["family", "node"]).select("family", F.col("node").alias("r"), F.col("component").alias("r_component"))
             direct = first.join(own, "family").where("component <> r_component").select(F.least("node", "r").alias("a"), F.greatest("node", "r").alias("b")).distinct()
             direct = stored(direct, "minhash-direct")
-            links = links.unionByName(confirmed(direct, sets))
+            links = links.unionByName(confirmed(direct))
             discard(first, direct)
             release(spark)
 
@@ -679,13 +691,12 @@ def near_duplicates(docs: DataFrame, *, size: int = 5, percent: int = 80, id_col
             once = F.col("inside_x") | (F.col("short_y") & (F.col("node_x") < F.col("node_y")))
             met = x.where("short_x").join(y.where("not inside_y"), ["family", "element"]).where((F.col("component_x") != F.col("component_y")) & once & possible)
             pairs = stored(met.select(F.least("node_x", "node_y").alias("a"), F.greatest("node_x", "node_y").alias("b")).distinct(), "minhash-between")
-            discard(centres, standing, ranked)
+            discard(whole, centres, standing, ranked)
             release(spark)
             if not pairs.isEmpty():
-                links = links.unionByName(confirmed(pairs, sets))
+                links = links.unionByName(confirmed(pairs))
             discard(pairs)
         discard(families)
-    discard(*known)
     labels = components(links)
     named = reps.select("node", "rep").join(labels, "node", "left").select("node", "rep", F.coalesce("component", "node").alias("component"))
     tops = named.groupBy("component").agg(F.min("rep").alias("component_id"))

@@ -164,6 +164,18 @@ def test_near_duplicates(spark, empty, monkeypatch, size, hub_members):
     assert minhash.near_duplicates(empty, size=size).count() == 0
 
 
+def test_full_sets_travel_in_bounded_rounds(spark, monkeypatch):
+    """No table of all wanted full sets is stored, and their exchange is cut by bytes."""
+    names, stored = [], minhash.stored
+    monkeypatch.setattr(minhash, "stored", lambda df, name: names.append(name) or stored(df, name))
+    monkeypatch.setattr(minhash, "ROUND_BYTES", 64, raising=False)
+    rows = shared_ids()
+    got = minhash.near_duplicates(table(spark, rows), size=2).select("doc_id", "n_shingles", "component_id").collect()
+    assert collections.Counter(map(tuple, got)) == collections.Counter(brute_links(rows, 2))
+    assert "minhash-shingles" not in names
+    assert names.count("minhash-links") + names.count("minhash-alike") > names.count("minhash-needed") + names.count("minhash-dealt")
+
+
 @pytest.mark.parametrize("one_task", [0, 10_000])
 def test_components(spark, one_task):
     rng = random.Random(2)
