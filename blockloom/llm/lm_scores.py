@@ -83,6 +83,11 @@ class Chunk:
         return at, h
 
 
+def _bucket(keys: np.ndarray, n_buckets: int) -> np.ndarray:
+    """The bucket of each key; 16 bits, where they suffice, are sorted by radix."""
+    return (keys % K.U64(n_buckets)).astype(np.uint16 if n_buckets <= 1 << 16 else np.int64)
+
+
 def _explode(order: int, n_buckets: int):
     schema = K.arrow_schema("chunk string,bucket int,keys binary,counts binary")
 
@@ -91,7 +96,7 @@ def _explode(order: int, n_buckets: int):
             for row in rb.to_pylist():
                 c = Chunk(row)
                 keys, counts = np.unique(c.grams(order)[1], return_counts=True)
-                b = keys % K.U64(n_buckets)
+                b = _bucket(keys, n_buckets)
                 at = np.argsort(b, kind="stable")
                 for part in np.split(at, np.flatnonzero(np.diff(b[at])) + 1) if len(at) else ():
                     yield K.table(schema, chunk=[row["chunk"]], bucket=[int(b[part[0]])], keys=[K.planes(keys[part] >> K.U64(16), 6)], counts=[K.planes(counts[part], 4)])
@@ -113,10 +118,20 @@ def _sum(tab: pa.Table) -> pa.Table:
     return pa.Table.from_batches([K.table(schema, chunk=[r["chunk"] for r in rows], bucket=[r["bucket"] for r in rows], totals=[K.planes(p, 6) for p in parts])])
 
 
-def _own(key: np.ndarray, doc: np.ndarray) -> np.ndarray:
-    """How often each element's document has its key."""
-    _, at, n = np.unique(K.mix(key ^ K.mix(doc.astype(K.U64))), return_inverse=True, return_counts=True)
-    return n[at]
+def _ranked(h: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct keys in order, the rank of each element's key among them, and how often its document has it, by one
+    sort: documents ascend, so that a stable sort by key leaves the elements of a document side by side."""
+    order = np.argsort(h, kind="stable")
+    k, d = h[order], doc[order]
+    new = np.ones(len(h), bool)
+    new[1:] = k[1:] != k[:-1]
+    start = new.copy()
+    start[1:] |= d[1:] != d[:-1]
+    rank, own = np.empty(len(h), np.int64), np.empty(len(h), np.int64)
+    rank[order] = np.cumsum(new) - 1
+    runs = np.diff(np.append(np.flatnonzero(start), len(h)))
+    own[order] = np.repeat(runs, runs)
+    return k[new], rank, own
 
 
 _DDL = "doc_id long,n_words long,log_score double,mean_score double,n_backoff long"
@@ -137,13 +152,13 @@ def _score(order: int, n_buckets: int, n_words: int):
             # from the shortest history on: a longer one replaces the score where its n-gram remains
             others = []
             for size, (pos, h) in enumerate(grams, 1):
-                keys = np.unique(h)
-                at = np.argsort(keys % K.U64(n_buckets), kind="stable")
+                keys, rank, own = _ranked(h, c.doc[pos])
+                at = np.argsort(_bucket(keys, n_buckets), kind="stable")
                 total = np.zeros(len(keys), np.int64)
                 if len(keys):
                     total[at] = np.concatenate([K.unplanes(t, 6).astype(np.int64) for _, t in sorted(answers[row["chunk"], size])])
                 left = np.zeros(n, np.int64)
-                left[pos] = total[np.searchsorted(keys, h)] - _own(h, c.doc[pos])
+                left[pos] = total[rank] - own
                 others.append(left)
             score = np.maximum(others[0], 1) / rest
             steps = np.zeros(n, np.int64)

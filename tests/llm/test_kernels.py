@@ -1,5 +1,6 @@
 """Kernels without Spark: words, suffix arrays, doubling, curves, packing, bounds, tokenizer models."""
 
+import collections
 import math
 import os
 import random
@@ -11,7 +12,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from blockloom.llm import hilbert_search, kernel as K, minhash, packing, quality, sentencepieces, substring_dedup, suffix_dedup, toxicity
+from blockloom.llm import hilbert_search, kernel as K, lm_scores, minhash, packing, quality, sentencepieces, substring_dedup, suffix_dedup, toxicity
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -223,3 +224,19 @@ def test_inflate_does_not_copy_the_rest_of_a_file():
     assert time.process_time() - began < 1.5  # 40 thousand copies of the rest take several times that
     assert A._inflate(raw + b"tail") == b"".join(parts) and A._inflate(b"plain") == b"plain" and A._inflate(b"") == b""
     assert b"".join(parts).startswith(A._inflate(raw[:-50])) and len(A._inflate(raw[:-50])) >= len(b"".join(parts[:-1]))
+
+
+def test_ranked_by_one_sort(monkeypatch):
+    rng = np.random.default_rng(5)
+    doc = np.sort(rng.integers(0, 40, 3000))
+    h = rng.integers(0, 60, 3000).astype(np.uint64) << np.uint64(50)
+    sorts = []
+    for name in ("argsort", "unique", "searchsorted"):
+        monkeypatch.setattr(lm_scores.np, name, lambda *a, f=getattr(np, name), **k: sorts.append(1) or f(*a, **k))
+    keys, rank, own = lm_scores._ranked(h, doc)
+    monkeypatch.undo()
+    assert len(sorts) == 1
+    assert (keys == np.unique(h)).all() and (keys[rank] == h).all()
+    seen = collections.Counter(zip(h.tolist(), doc.tolist()))
+    assert own.tolist() == [seen[x] for x in zip(h.tolist(), doc.tolist())]
+    assert [len(x) for x in lm_scores._ranked(h[:0], doc[:0])] == [0, 0, 0]
